@@ -43,9 +43,15 @@ def same_id(id_column: Column, text: str) -> Column:
     return id_column.cast("string") == F.trim(F.lit(text))
 
 
+def key_hash(key: Column, seed: int, purpose: str) -> Column:
+    """A repeatable number below 2**60 for a row's key, from a digest other engines share."""
+    digest = F.md5(F.concat_ws(":", F.lit(f"{seed}:{purpose}"), key.cast("string")))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+
+
 def pick(values: list, key: Column, seed: int, salt: str) -> Column:
     """A value chosen by a hash of the row's key: random to the eye, repeatable, native."""
-    slot = F.pmod(F.xxhash64(key, F.lit(seed), F.lit(salt)), F.lit(len(values))).cast("int")
+    slot = F.pmod(key_hash(key, seed, salt), F.lit(len(values))).cast("int")
     return F.element_at(F.array(*[F.lit(v) for v in values]), slot + 1)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kerbside.functions.scalars import key_hash
 from kerbside.operators.ordering import zip_with_index
 
 SORTED_ROWS = 100_000   # up to here a sorted limit may pass through one task
@@ -21,7 +22,7 @@ def first_rows(df: DataFrame, n: int | None, *keys: str) -> DataFrame:
 
 def sample_rows(df: DataFrame, n: int, key: str, seed: int) -> DataFrame:
     """``n`` random rows without replacement: the lowest by a seeded hash of the key."""
-    shuffled = df.withColumn("__order", F.xxhash64(F.col(key), F.lit(seed)))
+    shuffled = df.withColumn("__order", key_hash(F.col(key), seed, "sample"))
     return first_rows(shuffled, n, "__order", key).drop("__order")
 
 
@@ -35,6 +36,6 @@ def draw_rows(targets: DataFrame, target_key: str, source: DataFrame, *source_ke
     rows = numbered.count()
     if rows == 0:
         raise ValueError("there are no rows to draw from")
-    draw = F.pmod(F.xxhash64(F.col(target_key), F.lit(seed)), F.lit(rows))
+    draw = F.pmod(key_hash(F.col(target_key), seed, "draw"), F.lit(rows))
     drawn = targets.select(target_key).withColumn("__draw", draw)
     return drawn.join(numbered, "__draw").drop("__draw")
