@@ -24,13 +24,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions import geo
-from kerbside.session import broadcast_if, materialise
+from kerbside.session import broadcast_if, materialise, spread
 
 CELL_POINTS = 8      # distinct right points a finest cell may hold
-ROOT_POINTS = 64     # right sides up to this size need no grid at all
-MAX_LEVEL = 24       # a 20 km extent is then cut into cells of about a millimetre
+MEAN_POINTS = 1      # what a finest cell holds when points are spread evenly
+ROOT_POINTS = 32     # right sides up to this size need no grid at all
+MAX_LEVEL = 21       # a 20 km extent is then cut into cells of a centimetre
 STEP = 2             # grid levels per descent step: each cell splits into 4 per axis
-FIRST_PAIRS = 500_000  # cell pairs the first step, which starts from one root, may form
+FIRST_PAIRS = 1_000_000  # cell pairs the first step, which starts from one root, may form
+_BITS = 21           # bits of a cell number per axis
 _SLACK = 1e-9        # covers rounding of coordinates against cell borders
 
 
@@ -38,31 +40,40 @@ _SLACK = 1e-9        # covers rounding of coordinates against cell borders
 class PointIndex:
     """A right side prepared for searching; reusable across searches."""
 
-    points: DataFrame       # latitude, longitude, ids, rlat, rlng, clat, c0..cn at `level`
+    points: DataFrame       # latitude, longitude, ids, rlat, rlng, clat, cell on `level`
     ids: list[str]
     metric: str
     level: int
     low: list[float]
     side: float
-    cells: DataFrame | None  # c0..cn, points
+    cells: DataFrame | None  # cell, points
     cell_rows: int
 
-    @property
-    def axes(self) -> list[str]:
-        return [f"c{i}" for i in range(len(self.low))]
-
 
 def _embedding(metric: str, lat: Column, lng: Column) -> list[Column]:
     return geo.unit_vector(lat, lng) if metric == "haversine" else [lat, lng]
 
 
-def _cell_columns(index_low, side: float, level: int, vector: list[Column]) -> list[Column]:
-    top = 2 ** level - 1
-    scale = 2 ** level / side
-    return [
-        F.greatest(F.lit(0), F.least(F.lit(top), F.floor((v - lo) * scale).cast("int"))).alias(f"c{i}")
-        for i, (v, lo) in enumerate(zip(vector, index_low))
-    ]
+def _cell(low: list[float], side: float, level: int, vector: list[Column]) -> Column:
+    """The number of a point's cell: its place on each axis, side by side in one integer."""
+    top, scale = 2 ** level - 1, 2 ** level / side
+    key = F.lit(0).cast("long")
+    for i, (v, lo) in enumerate(zip(vector, low)):
+        place = F.greatest(F.lit(0), F.least(F.lit(top), F.floor((v - lo) * scale))).cast("long")
+        key = key.bitwiseOR(F.shiftleft(place, _BITS * i))
+    return key
+
+
+def _place(cell: str, axis: int) -> str:
+    return f"(shiftright({cell}, {_BITS * axis}) & {2 ** _BITS - 1})"
+
+
+def _up(cell: str, levels: int, axes: int) -> str:
+    """SQL for the cell ``levels`` coarser."""
+    if not levels:
+        return cell
+    return "(" + " | ".join(
+        f"shiftleft(shiftright({_place(cell, i)}, {levels}), {_BITS * i})" for i in range(axes)) + ")"
 
 
 def _bounds(df: DataFrame, metric: str) -> tuple[int, list[float], list[float]]:
@@ -103,87 +114,79 @@ def build_index(right: DataFrame, ids: list[str], *, searched_by: list[DataFrame
     side = max(b - a for a, b in zip(low, high)) or 1.0
     vector = _embedding(metric, F.col("latitude"), F.col("longitude"))
     # first guess: an evenly filled surface; dense spots ask for deeper grids
-    level = STEP * math.ceil((math.log(total / CELL_POINTS, 4) + 1) / STEP)
+    level = math.ceil(math.log(total / MEAN_POINTS, 4))
     while True:
         level = min(level, MAX_LEVEL)
-        pointed = prepared.select("*", *_cell_columns(low, side, level, vector))
-        axes = [f"c{i}" for i in range(len(low))]
-        cells = materialise(pointed.groupBy(*axes).agg(F.count("*").alias("points")))
+        pointed = prepared.withColumn("cell", _cell(low, side, level, vector))
+        cells = materialise(pointed.groupBy("cell").agg(F.count("*").alias("points")))
         fullest, rows = cells.agg(F.max("points"), F.count("*")).first()
         if fullest <= CELL_POINTS or level == MAX_LEVEL:
             return PointIndex(pointed, ids, metric, level, low, side, cells, rows)
-        level += STEP
+        level += 1
 
 
-def _coarser(cells: DataFrame, names: list[str], by: int, step: int, aggregates: list[str]) -> DataFrame:
-    """Occupied cells ``by`` levels up, renamed, with the cell ``step`` levels above as p<name>."""
-    axes = [f"c{i}" for i in range(len(names))]
-    up = cells.groupBy(*[F.expr(f"shiftright({c}, {by})").alias(n) for c, n in zip(axes, names)])
-    return up.agg(*[F.expr(a) for a in aggregates]).selectExpr(
-        "*", *[f"shiftright({n}, {step}) AS p{n}" for n in names])
+def _coarser(cells: DataFrame, name: str, by: int, step: int, axes: int, aggregates: list[str]) -> DataFrame:
+    """Occupied cells ``by`` levels up as ``name``, with the cell ``step`` levels above as p<name>."""
+    up = cells.groupBy(F.expr(_up("cell", by, axes)).alias(name))
+    return up.agg(*[F.expr(a) for a in aggregates]).selectExpr("*", f"{_up(name, step, axes)} AS p{name}")
 
 
 def _first_step(deepest: int, left_rows: int, right_rows: int) -> int:
     """The deepest grid on which all pairs of occupied cells are surely few."""
     step = STEP
-    while step + STEP <= deepest:
-        most = 3 * 4 ** (step + STEP)   # occupied cells of a surface that crosses the cube
+    while step < deepest:
+        most = 3 * 4 ** (step + 1)   # occupied cells of a surface that crosses the cube
         if min(left_rows, most) * min(right_rows, most) > FIRST_PAIRS:
             break
-        step += STEP
+        step += 1
     return step
 
 
 def _candidate_cells(index: PointIndex, left_cells: DataFrame, left_rows: int,
                      right_cells: DataFrame, right_rows: int, *,
                      other_than_self: bool, with_reach: bool) -> DataFrame:
-    """Pairs (a0..an, c0..cn) of finest cells: occupied left cell, candidate right cell."""
-    c_axes = index.axes
-    a_axes = [c.replace("c", "a") for c in c_axes]
+    """Pairs of finest cells: occupied left cell ``a``, right cell ``c`` with candidates."""
+    axes = len(index.low)
     right_aggregates = ["sum(points) AS points"]
     if with_reach:
         right_aggregates.append("max(reach2) AS reach2")
 
     # squared distances in cell widths: closest and farthest two cells can be apart
-    apart = [f"abs(cast({a} - {c} AS double))" for a, c in zip(a_axes, c_axes)]
+    apart = [f"abs(cast({_place('a', i)} - {_place('c', i)} AS double))" for i in range(axes)]
     near2 = " + ".join(f"greatest(0D, {d} - 1) * greatest(0D, {d} - 1)" for d in apart) + " AS near2"
     far2 = " + ".join(f"({d} + 1) * ({d} + 1)" for d in apart) + " AS far2"
-    partner = f"struct({', '.join(c_axes)}, near2)"
 
     front, level = None, 0
     while level < index.level:
-        step = STEP if level else _first_step(index.level, left_rows, right_rows)
+        step = min(STEP if level else _first_step(index.level, left_rows, right_rows), index.level - level)
         level += step
         by, scale = index.level - level, float(4 ** level)
-        lefts = broadcast_if(_coarser(left_cells, a_axes, by, step, ["1 AS occupied"]), left_rows)
-        rights = broadcast_if(_coarser(right_cells, c_axes, by, step, right_aggregates), right_rows)
+        lefts = broadcast_if(_coarser(left_cells, "a", by, step, axes, ["1 AS occupied"]), left_rows)
+        rights = broadcast_if(_coarser(right_cells, "c", by, step, axes, right_aggregates), right_rows)
         if front is None:
             # one root cell on either side, so this join is on the constant cell zero
-            pairs = lefts.withColumn("parent2", F.lit(math.inf)).withColumnRenamed("pa0", "pc0")
-            pairs = pairs.join(rights, "pc0")
+            pairs = spread(lefts).selectExpr("a", "pa AS pc", "double('Infinity') AS parent2").join(rights, "pc")
         else:
-            pairs = front.selectExpr(*[f"{a} AS p{a}" for a in a_axes], f"limit2 * {4.0 ** step} AS parent2",
-                                     "explode(partners) AS partner")
-            pairs = pairs.selectExpr("* except (partner)", *[f"partner.{c} AS p{c}" for c in c_axes])
-            pairs = pairs.join(rights, [f"p{c}" for c in c_axes]).join(lefts, [f"p{a}" for a in a_axes])
+            pairs = spread(front).selectExpr("a AS pa", "c AS pc", f"limit2 * {4.0 ** step} AS parent2")
+            pairs = pairs.join(rights, "pc").join(lefts, "pa")
 
         sure = "true"
         possible = f"near2 <= parent2 * {1 + _SLACK} + {_SLACK}"
         if other_than_self:
-            same = " AND ".join(f"{a} = {c}" for a, c in zip(a_axes, c_axes))
-            sure += f" AND (points > 1 OR NOT ({same}))"
+            sure += " AND (points > 1 OR a <> c)"
         if with_reach:
             sure += f" AND far2 <= reach2 * {scale * (1 - _SLACK)}"
             possible += f" AND near2 <= reach2 * {scale * (1 + _SLACK)} + {_SLACK}"
-        front = (
-            pairs.selectExpr("*", near2, far2).where(possible).groupBy(*a_axes)
-            .agg(F.expr(f"least(min(if({sure}, far2, NULL)), min(parent2)) AS limit2"),
-                 F.expr(f"collect_list({partner}) AS partners"))
-            .selectExpr(*a_axes, "limit2",
-                        f"filter(partners, p -> p.near2 <= limit2 * {1 + _SLACK} + {_SLACK}) AS partners")
-        )
-    return front.selectExpr(*a_axes, "explode(partners) AS partner").selectExpr(
-        *a_axes, *[f"partner.{c} AS {c}" for c in c_axes])
+        pairs = pairs.selectExpr("a", "c", "parent2", "points",
+                                 *(["reach2"] if with_reach else []), near2, far2).where(possible)
+        # forming the few pairs again is cheaper than keeping lists of them while the
+        # limit is being found
+        limits = pairs.groupBy("a").agg(
+            F.expr(f"least(min(if({sure}, far2, NULL)), min(parent2)) AS limit2"))
+        front = materialise(
+            pairs.join(broadcast_if(limits, left_rows), "a")
+            .where(f"near2 <= limit2 * {1 + _SLACK} + {_SLACK}").select("a", "c", "limit2"))
+    return front.select("a", "c")
 
 
 def search(left: DataFrame, index: PointIndex, *, prefix: str = "", distance: str = "distance",
@@ -196,7 +199,7 @@ def search(left: DataFrame, index: PointIndex, *, prefix: str = "", distance: st
     a DataFrame of ids, ``reach2`` (squared straight-line limit, infinite for none) and
     further columns, which ``accepts(candidate, distance)`` can test exactly.
     """
-    ids, axes = index.ids, index.axes
+    ids = index.ids
     spherical = index.metric == "haversine"
     points = index.points
     extra: list[str] = []
@@ -208,24 +211,23 @@ def search(left: DataFrame, index: PointIndex, *, prefix: str = "", distance: st
 
     if index.level == 0:
         # at most ROOT_POINTS candidates in all: one row, attached to every left row
-        lists = points.groupBy(F.lit(0).alias("a0")).agg(F.collect_list(F.struct(*fields)).alias("candidates"))
-        rows = left.withColumn("a0", F.lit(0)).join(lists.hint("broadcast"), "a0").drop("a0")
+        lists = points.groupBy(F.lit(0).alias("a")).agg(F.collect_list(F.struct(*fields)).alias("candidates"))
+        rows = left.withColumn("a", F.lit(0)).join(lists.hint("broadcast"), "a").drop("a")
     else:
-        a_axes = [a.replace("c", "a") for a in axes]
         vector = _embedding(index.metric, F.col("latitude"), F.col("longitude"))
-        cell = _cell_columns(index.low, index.side, index.level, vector)
-        left_cells = materialise(left.select(*cell).distinct())
-        left_rows = left_cells.count()
+        cell = _cell(index.low, index.side, index.level, vector)
+        left_cells = materialise(left.groupBy(cell.alias("cell")).agg(F.count("*").alias("rows")))
+        left_rows, rows = left_cells.agg(F.count("*"), F.sum("rows")).first()
         right_cells, right_rows = index.cells, index.cell_rows
         if reach is not None:
             unit = index.side * index.side
-            right_cells = points.groupBy(*axes).agg(
+            right_cells = points.groupBy("cell").agg(
                 F.count("*").alias("points"), F.max(F.col("reach2") / unit).alias("reach2"))
         pairs = _candidate_cells(index, left_cells, left_rows, right_cells, right_rows,
                                  other_than_self=other_than_self, with_reach=reach is not None)
-        lists = pairs.join(points, axes).groupBy(*a_axes).agg(
+        lists = pairs.join(points, pairs["c"] == points["cell"]).groupBy("a").agg(
             F.collect_list(F.struct(*fields)).alias("candidates"))
-        rows = left.select("*", *[c.alias(a) for c, a in zip(cell, a_axes)]).join(lists, a_axes).drop(*a_axes)
+        rows = spread(left, rows or 0).withColumn("a", cell).join(lists, "a").drop("a")
 
     lat, lng = F.col("latitude"), F.col("longitude")
     if spherical:

@@ -52,3 +52,14 @@ def materialise(df: DataFrame) -> DataFrame:
 def broadcast_if(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast when the measured row count allows it, else leave it to AQE."""
     return df.hint("broadcast") if rows <= limit else df
+
+
+def spread(df: DataFrame, rows: int | None = None, limit: int = 2_000_000) -> DataFrame:
+    """Deal rows out to all cores where each row stands for much work.
+
+    Sizes in bytes, by which scans and AQE choose partitions, say little there. A table
+    of more than ``limit`` rows is left as it is: it comes in enough splits.
+    """
+    if rows is not None and rows > limit:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
