@@ -62,6 +62,10 @@ def fit(features: DataFrame, k: int, seed: int = 42) -> tuple[DataFrame, DataFra
             "place", F.xxhash64("latitude", "longitude")), k, "place", seed)
         numbered = start.select(F.col("place").alias("cluster_id"), "latitude", "longitude")
         return lloyd(features, materialise(numbered), MAX_ITER, TOLERANCE)
+    if k == 1:   # the mean of all points, which the model declines to fit
+        centre = features.agg(F.avg("latitude").alias("latitude"), F.avg("longitude").alias("longitude"))
+        one = F.lit(1).cast("long").alias("cluster_id")
+        return features.select("*", one), materialise(centre.select(one, "latitude", "longitude"))
     model = KMeans(k=k, seed=seed, maxIter=MAX_ITER, tol=TOLERANCE, featuresCol="features",
                    predictionCol="__label").fit(features)
     rows = [(i + 1, float(c[0]), float(c[1])) for i, c in enumerate(model.clusterCenters())]

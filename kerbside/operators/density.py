@@ -36,7 +36,7 @@ def k_distance_eps(points: DataFrame) -> float:
     total, gaps, listed = steps.agg(F.sum("rows"), F.sum("gap"), F.count("gap")).first()
     if not total or total < 3:
         raise ValueError("at least three points are needed to estimate a radius")
-    mean = gaps / (total - 1)
+    mean = (gaps or 0.0) / (total - 1)
     squares = steps.agg(F.sum((F.col("gap") - mean) * (F.col("gap") - mean))).first()[0] or 0.0
     spread = math.sqrt((squares + (total - 1 - listed) * mean * mean) / (total - 1))
     eps = steps.where(F.col("gap") > mean + spread).agg(F.min("distance")).first()[0]

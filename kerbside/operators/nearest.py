@@ -40,7 +40,7 @@ _SLACK = 1e-9        # covers rounding of coordinates against cell borders
 class PointIndex:
     """A right side prepared for searching; reusable across searches."""
 
-    points: DataFrame       # latitude, longitude, ids, rlat, rlng, clat, cell on `level`
+    points: DataFrame       # latitude, longitude, ids, rlat, rlng, clat, and its cell as __at
     ids: list[str]
     metric: str
     level: int
@@ -117,8 +117,8 @@ def build_index(right: DataFrame, ids: list[str], *, searched_by: list[DataFrame
     level = math.ceil(math.log(total / MEAN_POINTS, 4))
     while True:
         level = min(level, MAX_LEVEL)
-        pointed = prepared.withColumn("cell", _cell(low, side, level, vector))
-        cells = materialise(pointed.groupBy("cell").agg(F.count("*").alias("points")))
+        pointed = prepared.withColumn("__at", _cell(low, side, level, vector))
+        cells = materialise(pointed.groupBy(F.col("__at").alias("cell")).agg(F.count("*").alias("points")))
         fullest, rows = cells.agg(F.max("points"), F.count("*")).first()
         if fullest <= CELL_POINTS or level == MAX_LEVEL:
             return PointIndex(pointed, ids, metric, level, low, side, cells, rows)
@@ -211,8 +211,9 @@ def search(left: DataFrame, index: PointIndex, *, prefix: str = "", distance: st
 
     if index.level == 0:
         # at most ROOT_POINTS candidates in all: one row, attached to every left row
-        lists = points.groupBy(F.lit(0).alias("a")).agg(F.collect_list(F.struct(*fields)).alias("candidates"))
-        rows = left.withColumn("a", F.lit(0)).join(lists.hint("broadcast"), "a").drop("a")
+        lists = points.groupBy(F.lit(0).alias("__cell")).agg(
+            F.collect_list(F.struct(*fields)).alias("__candidates"))
+        rows = left.withColumn("__cell", F.lit(0)).join(lists.hint("broadcast"), "__cell")
     else:
         vector = _embedding(index.metric, F.col("latitude"), F.col("longitude"))
         cell = _cell(index.low, index.side, index.level, vector)
@@ -221,13 +222,14 @@ def search(left: DataFrame, index: PointIndex, *, prefix: str = "", distance: st
         right_cells, right_rows = index.cells, index.cell_rows
         if reach is not None:
             unit = index.side * index.side
-            right_cells = points.groupBy("cell").agg(
+            right_cells = points.groupBy(F.col("__at").alias("cell")).agg(
                 F.count("*").alias("points"), F.max(F.col("reach2") / unit).alias("reach2"))
         pairs = _candidate_cells(index, left_cells, left_rows, right_cells, right_rows,
                                  other_than_self=other_than_self, with_reach=reach is not None)
-        lists = pairs.join(points, pairs["c"] == points["cell"]).groupBy("a").agg(
-            F.collect_list(F.struct(*fields)).alias("candidates"))
-        rows = spread(left, rows or 0).withColumn("a", cell).join(lists, "a").drop("a")
+        pairs = pairs.selectExpr("a AS __cell", "c AS __at")
+        lists = pairs.join(points, "__at").groupBy("__cell").agg(
+            F.collect_list(F.struct(*fields)).alias("__candidates"))
+        rows = spread(left, rows or 0).withColumn("__cell", cell).join(lists, "__cell")
 
     lat, lng = F.col("latitude"), F.col("longitude")
     if spherical:
@@ -243,7 +245,7 @@ def search(left: DataFrame, index: PointIndex, *, prefix: str = "", distance: st
         keep = [c[name].alias(name) for name in [*ids, *extra, "latitude", "longitude"]]
         return F.struct(d.alias("distance"), *keep)
 
-    candidates = F.col("candidates")
+    candidates = F.col("__candidates")
     if other_than_self:
         candidates = F.filter(candidates, lambda c: (c["latitude"] != lat) | (c["longitude"] != lng))
     found = F.transform(candidates, measured)
