@@ -82,7 +82,7 @@ def coverage(labelled: DataFrame, centres: DataFrame, max_distance: float) -> Da
     """
     own = centres.select("cluster_id", F.col("latitude").alias("__lat"), F.col("longitude").alias("__lng"))
     near = geo.haversine(F.col("latitude"), F.col("longitude"), F.col("__lat"), F.col("__lng")) <= max_distance
-    shares = labelled.join(own, "cluster_id").groupBy("cluster_id").agg(
+    shares = labelled.join(broadcast_if(own, centres.count()), "cluster_id").groupBy("cluster_id").agg(
         F.count("*").alias("points"), F.avg(near.cast("double")).alias("share"))
     return centres.select("cluster_id").join(shares, "cluster_id", "left").select(
         "cluster_id", F.coalesce("points", F.lit(0)).alias("points"), "share")

@@ -11,6 +11,7 @@ from kerbside.functions import geo
 from kerbside.operators.components import connected_components
 from kerbside.operators.nearest import nearest_other
 from kerbside.operators.ordering import next_values
+from kerbside.operators.skew import join_unique
 from kerbside.session import materialise
 
 NOISE = -1
@@ -92,6 +93,8 @@ def _linked_cells(places: DataFrame, pairs: DataFrame, side: float, eps: float)
             break
         fuller = fuller.join(found[-1], ["a_node", "b_node"], "left_anti")
         depth += _SPLIT
+        nodes = fuller.select(F.explode(F.array("a_node", "b_node")).alias("node")).distinct()
+        places = materialise(places.join(nodes, "node", "left_semi"))
         for tag in ("a", "b"):
             parts = _sub_cells(places, side, depth, tag)
             up = [F.expr(f"shiftright({tag}{axis}, {_SPLIT})").alias(f"up{axis}") for axis in "yx"]
@@ -140,14 +143,16 @@ def dbscan(points: DataFrame, eps: float, id_column: str = "student_id") -> Data
                           F.col("points").alias("b_points"))
     pairs = materialise(reached.join(others, ["by", "bx"]))
     places = points.select("latitude", "longitude").distinct().select("*", cy.alias("cy"), cx.alias("cx"))
-    places = materialise(places.join(cells.select("cy", "cx", "node"), ["cy", "cx"]))
+    sizes = cells.select("cy", "cx", F.col("points").alias("rows"))
+    total = cells.agg(F.coalesce(F.sum("points"), F.lit(0))).first()[0]
+    places = materialise(join_unique(places, cells.select("cy", "cx", "node"), ["cy", "cx"], sizes, total))
     links = _linked_cells(places, pairs, side, eps)
     groups = connected_components(links.selectExpr("a_node AS u", "b_node AS v"))
     labels = cells.join(groups, cells["node"] == groups["node"], "left").select(
         "cy", "cx", F.coalesce("component", F.when(F.col("points") > 1, cells["node"]),
                                F.lit(NOISE)).alias("label"))
-    # one row per cell on the right, so a cell with very many points can be split
-    return points.withColumn("cy", cy).withColumn("cx", cx).join(labels, ["cy", "cx"]).drop("cy", "cx")
+    keyed = points.withColumn("cy", cy).withColumn("cx", cx)
+    return join_unique(keyed, labels, ["cy", "cx"], sizes, total).drop("cy", "cx")
 
 
 def cluster_count(labelled: DataFrame) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions import geo
+from kerbside.operators.skew import join_unique
 from kerbside.session import broadcast_if, materialise, spread
 
 CELL_POINTS = 8      # distinct right points a finest cell may hold
@@ -218,7 +219,7 @@ def search(left: DataFrame, index: PointIndex, *, prefix: str = "", distance: st
         vector = _embedding(index.metric, F.col("latitude"), F.col("longitude"))
         cell = _cell(index.low, index.side, index.level, vector)
         left_cells = materialise(left.groupBy(cell.alias("cell")).agg(F.count("*").alias("rows")))
-        left_rows, rows = left_cells.agg(F.count("*"), F.sum("rows")).first()
+        left_rows, total = left_cells.agg(F.count("*"), F.coalesce(F.sum("rows"), F.lit(0))).first()
         right_cells, right_rows = index.cells, index.cell_rows
         if reach is not None:
             unit = index.side * index.side
@@ -229,7 +230,8 @@ def search(left: DataFrame, index: PointIndex, *, prefix: str = "", distance: st
         pairs = pairs.selectExpr("a AS __cell", "c AS __at")
         lists = pairs.join(points, "__at").groupBy("__cell").agg(
             F.collect_list(F.struct(*fields)).alias("__candidates"))
-        rows = spread(left, rows or 0).withColumn("__cell", cell).join(lists, "__cell")
+        rows = spread(left, total).withColumn("__cell", cell)
+        rows = join_unique(rows, lists, ["__cell"], left_cells.withColumnRenamed("cell", "__cell"), total)
 
     lat, lng = F.col("latitude"), F.col("longitude")
     if spherical:

@@ -25,14 +25,18 @@ def range_parts(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def zip_with_index(df: DataFrame, *keys: str, name: str = "index", start: int = 1) -> DataFrame:
-    """Consecutive numbers in key order, counted per range partition."""
-    parts = range_parts(df, *keys)
+    """Consecutive numbers in key order, counted per range partition.
+
+    Rows with equal keys are numbered in any order, and kept apart by a row number, so
+    that very many copies of a row still spread over partitions.
+    """
+    parts = range_parts(df.withColumn("__copy", F.monotonically_increasing_id()), *keys, "__copy")
     sizes = parts.groupBy(_PART).agg(F.count("*").alias("__rows"))
     # one row per partition, so the unpartitioned window and the broadcast are bounded
     before = F.coalesce(
         F.sum("__rows").over(Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = sizes.select(_PART, (before + (start - 1)).alias("__before"))
-    local = F.row_number().over(Window.partitionBy(_PART).orderBy(*keys))
+    local = F.row_number().over(Window.partitionBy(_PART).orderBy(*keys, "__copy"))
     return (
         parts.withColumn("__local", local).join(F.broadcast(offsets), _PART)
         .select(*df.columns, (F.col("__before") + F.col("__local")).cast("long").alias(name))

@@ -4,7 +4,7 @@ import plain
 import pytest
 from pyspark.sql import functions as F
 
-from kerbside.operators import centres, density, matching, ordering, sampling, updates
+from kerbside.operators import centres, density, matching, ordering, sampling, skew, updates
 from kerbside.operators import nearest as N
 from kerbside.operators.components import connected_components
 
@@ -20,6 +20,13 @@ def test_zip_with_index_counts_in_key_order(spark):
     assert all(r["n"] == r["v"] + 1 for r in got) and len(got) == 5000
 
 
+def test_zip_with_index_spreads_copies(spark):
+    df = spark.createDataFrame([("same",)] * 2000 + [("z",)], "k string").repartition(4)
+    parts = ordering.zip_with_index(df, "k", name="n")
+    assert sorted(r["n"] for r in parts.collect()) == list(range(1, 2002))
+    assert parts.where("k = 'z'").first()["n"] == 2001
+
+
 def test_running_total_of_a_group_that_fills_many_partitions(spark):
     rng = random.Random(2)
     rows = [("hot" if i % 3 else f"g{i % 50}", i, rng.randint(1, 9)) for i in range(3000)]
@@ -138,6 +145,27 @@ def test_eps_needs_points_a_step_and_distinct_positions(spark):
         density.dbscan(spark.createDataFrame([(1, 0.0, 0.0)], f"student_id long, {POINT}"), 0.0)
 
 
+def test_hot_keys_are_dealt_out(spark, monkeypatch):
+    """With a tiny limit every joined key is split, and nothing changes."""
+    monkeypatch.setattr(skew, "HOT_ROWS", 3)
+    left = spark.createDataFrame([(1 if i % 3 else i, i) for i in range(60)], "k long, v long")
+    right = spark.createDataFrame([(i, f"r{i}") for i in range(60)], "k long, s string")
+    sizes = left.groupBy("k").agg(F.count("*").alias("rows"))
+    joined = skew.join_unique(left, right, ["k"], sizes, 60)
+    assert sorted(map(tuple, joined.collect())) == sorted((k, v, f"r{k}") for k, v in map(tuple, left.collect()))
+
+    rng = random.Random(13)
+    points = [(i, 21 + rng.random() * 0.01, 105 + rng.random() * 0.01) for i in range(120)]
+    points += [(1000 + i, 21.005, 105.005) for i in range(60)]
+    df = spark.createDataFrame(points, f"student_id long, {POINT}")
+    assert labels(density.dbscan(df, 0.0008)) == plain.components(points, 0.0008)
+    monkeypatch.setattr(N, "ROOT_POINTS", 0)
+    right = [(i, a, b) for i, a, b in points[:50]]
+    got = N.nearest(df, spark.createDataFrame(right, f"b long, {POINT}"), ["b"])
+    want = plain.nearest(points, right)
+    assert {r["student_id"]: r["b"] for r in got.collect()} == {k: b for k, (_, b) in want.items()}
+
+
 # --- clusters --------------------------------------------------------------------------
 
 def test_coverage_counts_empty_clusters_as_invalid(spark):
