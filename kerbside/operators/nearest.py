@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,10 +29,12 @@ from kerbside.session import broadcast_if, materialise, spread
 
 CELL_POINTS = 8      # distinct right points a finest cell may hold
 MEAN_POINTS = 1      # what a finest cell holds when points are spread evenly
+CANDIDATES = 500_000  # candidates of all cells together, some 40 MB, that may be broadcast
 ROOT_POINTS = 32     # right sides up to this size need no grid at all
 MAX_LEVEL = 21       # a 20 km extent is then cut into cells of a centimetre
 STEP = 2             # grid levels per descent step: each cell splits into 4 per axis
-FIRST_PAIRS = 1_000_000  # cell pairs the first step, which starts from one root, may form
+FIRST_PAIRS = 2_000_000  # cell pairs the first step, which starts from one root, may form
+FIRST_LEVEL = 10     # deepest grid the first step may reach
 _BITS = 21           # bits of a cell number per axis
 _SLACK = 1e-9        # covers rounding of coordinates against cell borders
 
@@ -47,8 +49,9 @@ class PointIndex:
     level: int
     low: list[float]
     side: float
-    cells: DataFrame | None  # cell, points
-    cell_rows: int
+    cells: DataFrame | None = None  # cell, points
+    cell_rows: int = 0
+    filled: list[int] = field(default_factory=list)  # occupied cells per level, about
 
 
 def _embedding(metric: str, lat: Column, lng: Column) -> list[Column]:
@@ -105,7 +108,7 @@ def build_index(right: DataFrame, ids: list[str], *, searched_by: list[DataFrame
     prepared = right.select("*", rlat.alias("rlat"), F.radians("longitude").alias("rlng"),
                             F.cos(rlat).alias("clat"))
     if total <= ROOT_POINTS:
-        return PointIndex(prepared, ids, metric, 0, [], 1.0, None, total)
+        return PointIndex(prepared, ids, metric, 0, [], 1.0)
 
     for other in searched_by:
         rows, lows, highs = _bounds(other, metric)
@@ -120,9 +123,10 @@ def build_index(right: DataFrame, ids: list[str], *, searched_by: list[DataFrame
         level = min(level, MAX_LEVEL)
         pointed = prepared.withColumn("__at", _cell(low, side, level, vector))
         cells = materialise(pointed.groupBy(F.col("__at").alias("cell")).agg(F.count("*").alias("points")))
-        fullest, rows = cells.agg(F.max("points"), F.count("*")).first()
+        fullest, rows, *filled = cells.agg(
+            F.max("points"), F.count("*"), *_occupied(level, len(low))).first()
         if fullest <= CELL_POINTS or level == MAX_LEVEL:
-            return PointIndex(pointed, ids, metric, level, low, side, cells, rows)
+            return PointIndex(pointed, ids, metric, level, low, side, cells, rows, filled)
         level += 1
 
 
@@ -132,20 +136,22 @@ def _coarser(cells: DataFrame, name: str, by: int, step: int, axes: int, aggrega
     return up.agg(*[F.expr(a) for a in aggregates]).selectExpr("*", f"{_up(name, step, axes)} AS p{name}")
 
 
-def _first_step(deepest: int, left_rows: int, right_rows: int) -> int:
-    """The deepest grid on which all pairs of occupied cells are surely few."""
-    step = STEP
-    while step < deepest:
-        most = 3 * 4 ** (step + 1)   # occupied cells of a surface that crosses the cube
-        if min(left_rows, most) * min(right_rows, most) > FIRST_PAIRS:
-            break
+def _occupied(level: int, axes: int) -> list[Column]:
+    """Aggregates over finest cells: about how many cells of each coarser grid they fill."""
+    return [F.approx_count_distinct(F.expr(_up("cell", level - at, axes)))
+            for at in range(1, min(level, FIRST_LEVEL) + 1)]
+
+
+def _first_step(left_filled: list[int], right_filled: list[int]) -> int:
+    """The deepest grid on which all pairs of occupied cells are few."""
+    step = 1
+    while step < len(left_filled) and left_filled[step] * right_filled[step] <= FIRST_PAIRS:
         step += 1
     return step
 
 
-def _candidate_cells(index: PointIndex, left_cells: DataFrame, left_rows: int,
-                     right_cells: DataFrame, right_rows: int, *,
-                     other_than_self: bool, with_reach: bool) -> DataFrame:
+def _candidate_cells(index: PointIndex, left_cells: DataFrame, left_rows: int, left_filled: list[int],
+                     right_cells: DataFrame, right_rows: int, *, other_than_self: bool, with_reach: bool) -> DataFrame:
     """Pairs of finest cells: occupied left cell ``a``, right cell ``c`` with candidates."""
     axes = len(index.low)
     right_aggregates = ["sum(points) AS points"]
@@ -159,7 +165,7 @@ def _candidate_cells(index: PointIndex, left_cells: DataFrame, left_rows: int,
 
     front, level = None, 0
     while level < index.level:
-        step = min(STEP if level else _first_step(index.level, left_rows, right_rows), index.level - level)
+        step = min(STEP if level else _first_step(left_filled, index.filled), index.level - level)
         level += step
         by, scale = index.level - level, float(4 ** level)
         lefts = broadcast_if(_coarser(left_cells, "a", by, step, axes, ["1 AS occupied"]), left_rows)
@@ -219,19 +225,23 @@ def search(left: DataFrame, index: PointIndex, *, prefix: str = "", distance: st
         vector = _embedding(index.metric, F.col("latitude"), F.col("longitude"))
         cell = _cell(index.low, index.side, index.level, vector)
         left_cells = materialise(left.groupBy(cell.alias("cell")).agg(F.count("*").alias("rows")))
-        left_rows, total = left_cells.agg(F.count("*"), F.coalesce(F.sum("rows"), F.lit(0))).first()
+        left_rows, total, *filled = left_cells.agg(
+            F.count("*"), F.coalesce(F.sum("rows"), F.lit(0)), *_occupied(index.level, len(index.low))).first()
         right_cells, right_rows = index.cells, index.cell_rows
         if reach is not None:
             unit = index.side * index.side
             right_cells = points.groupBy(F.col("__at").alias("cell")).agg(
                 F.count("*").alias("points"), F.max(F.col("reach2") / unit).alias("reach2"))
-        pairs = _candidate_cells(index, left_cells, left_rows, right_cells, right_rows,
+        pairs = _candidate_cells(index, left_cells, left_rows, filled, right_cells, right_rows,
                                  other_than_self=other_than_self, with_reach=reach is not None)
         pairs = pairs.selectExpr("a AS __cell", "c AS __at")
         lists = pairs.join(points, "__at").groupBy("__cell").agg(
             F.collect_list(F.struct(*fields)).alias("__candidates"))
         rows = spread(left, total).withColumn("__cell", cell)
-        rows = join_unique(rows, lists, ["__cell"], left_cells.withColumnRenamed("cell", "__cell"), total)
+        if index.level < MAX_LEVEL and pairs.count() * CELL_POINTS <= CANDIDATES:
+            rows = rows.join(lists.hint("broadcast"), "__cell")
+        else:
+            rows = join_unique(rows, lists, ["__cell"], left_cells.withColumnRenamed("cell", "__cell"), total)
 
     lat, lng = F.col("latitude"), F.col("longitude")
     if spherical:

@@ -86,6 +86,7 @@ def test_missing_coordinates_and_empty_sides(spark, monkeypatch, root):
 def test_same_result_when_nothing_may_be_broadcast(spark, grid, monkeypatch):
     from kerbside import session
     monkeypatch.setattr(N, "broadcast_if", lambda df, rows: session.broadcast_if(df, rows, limit=-1))
+    monkeypatch.setattr(N, "CANDIDATES", -1)
     rng = random.Random(11)
     left, right = clumped(rng, 100), clumped(rng, 100, 1000)
     got = N.nearest(spark.createDataFrame(left, f"a long, {POINT}"),

@@ -160,6 +160,7 @@ def test_hot_keys_are_dealt_out(spark, monkeypatch):
     df = spark.createDataFrame(points, f"student_id long, {POINT}")
     assert labels(density.dbscan(df, 0.0008)) == plain.components(points, 0.0008)
     monkeypatch.setattr(N, "ROOT_POINTS", 0)
+    monkeypatch.setattr(N, "CANDIDATES", -1)
     right = [(i, a, b) for i, a, b in points[:50]]
     got = N.nearest(df, spark.createDataFrame(right, f"b long, {POINT}"), ["b"])
     want = plain.nearest(points, right)
