@@ -72,7 +72,7 @@ def _place(cell: str, axis: int) -> str:
     return f"(shiftright({cell}, {_BITS * axis}) & {2 ** _BITS - 1})"
 
 
-def _up(cell: str, levels: int, axes: int) -> str:
+def _up(cell: str, levels: int | str, axes: int) -> str:
     """SQL for the cell ``levels`` coarser."""
     if not levels:
         return cell
@@ -117,17 +117,26 @@ def build_index(right: DataFrame, ids: list[str], *, searched_by: list[DataFrame
             high = [max(a, b) for a, b in zip(high, highs)]
     side = max(b - a for a, b in zip(low, high)) or 1.0
     vector = _embedding(metric, F.col("latitude"), F.col("longitude"))
-    # first guess: an evenly filled surface; dense spots ask for deeper grids
-    level = math.ceil(math.log(total / MEAN_POINTS, 4))
+    # enough for an evenly filled surface; dense spots ask for deeper grids
+    level = min(MAX_LEVEL, math.ceil(math.log(total / MEAN_POINTS, 4)))
     while True:
-        level = min(level, MAX_LEVEL)
         pointed = prepared.withColumn("__at", _cell(low, side, level, vector))
         cells = materialise(pointed.groupBy(F.col("__at").alias("cell")).agg(F.count("*").alias("points")))
         fullest, rows, *filled = cells.agg(
             F.max("points"), F.count("*"), *_occupied(level, len(low))).first()
         if fullest <= CELL_POINTS or level == MAX_LEVEL:
             return PointIndex(pointed, ids, metric, level, low, side, cells, rows, filled)
-        level += 1
+        crowded = pointed.join(cells.where(F.col("points") > CELL_POINTS), F.col("__at") == F.col("cell"), "left_semi")
+        level = _level_for(crowded.select(_cell(low, side, MAX_LEVEL, vector).alias("cell")), level, len(low))
+
+
+def _level_for(crowded: DataFrame, level: int, axes: int) -> int:
+    """The first grid deeper than ``level`` that none of the points crowd: one pass."""
+    deeper = crowded.select("cell", F.explode(F.sequence(F.lit(level + 1), F.lit(MAX_LEVEL))).alias("level"))
+    sizes = deeper.groupBy("level", F.expr(_up("cell", f"{MAX_LEVEL} - level", axes)).alias("up")).agg(
+        F.count("*").alias("points"))
+    fullest = sizes.groupBy("level").agg(F.max("points").alias("points"))
+    return fullest.where(F.col("points") <= CELL_POINTS).agg(F.min("level")).first()[0] or MAX_LEVEL
 
 
 def _coarser(cells: DataFrame, name: str, by: int, step: int, axes: int, aggregates: list[str]) -> DataFrame:
