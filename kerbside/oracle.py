@@ -267,7 +267,7 @@ SELECT s.student_id, round(coalesce(b.latitude, s.latitude), 9) AS latitude,
   round(coalesce(b.longitude, s.longitude), 9) AS longitude
 FROM students s LEFT JOIN some_assignments a ON s.student_id = a.student_id LEFT JOIN zone_stops b ON a.stop_id = b.stop_id""",
     "cdc_location_history": f"""{with_sql("student_changes")}
-SELECT student_id, latitude, longitude, strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d %H:%M:%S.%g') AS moved_at
+SELECT student_id, latitude, longitude, ts_ms AS moved_at
 FROM student_changes WHERE op <> 'd'""",
     "cdc_latest_assignment": f"""{_WITH_LAST}
 SELECT student_id, stop_id, round(distance, 3) AS distance FROM near""",

@@ -54,15 +54,21 @@ def plan_pickup(students: DataFrame, road_points: DataFrame, *, student_count: i
     }
 
 
-def run_pickup(tables: Tables, **parameters) -> None:
+def run_pickup(tables: Tables, show: bool = False, **parameters) -> None:
     """Plan stops from the tables and replace the four tables it results in."""
     planned = plan_pickup(tables.read("students"), tables.read("road_points"), **parameters)
     for name, df in planned.items():
         tables.overwrite(name, df)
+    if show and planned:
+        for name in ("bus_stops", "assignments"):
+            tables.read(name).show()
 
 
-def run_matching(tables: Tables) -> DataFrame:
+def run_matching(tables: Tables, show: bool = False) -> DataFrame:
     """Match buses to stops and replace the table of bus assignments."""
     matched = match_buses(tables.read("bus_stops"), tables.read("buses"), tables.read("assignments"))
     tables.overwrite("bus_assignments", matched)
-    return tables.read("bus_assignments")
+    result = tables.read("bus_assignments")
+    if show:
+        result.show()
+    return result

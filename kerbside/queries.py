@@ -345,8 +345,9 @@ def _moves(spark, d) -> DataFrame:
 
 @query
 def cdc_location_history(spark, d):
-    return _moves(spark, d).select("student_id", "latitude", "longitude", F.date_format(
-        "timestamp", "yyyy-MM-dd HH:mm:ss.SSS").alias("moved_at"))
+    """Instants as milliseconds, so that no session time zone is in the text."""
+    return _moves(spark, d).select("student_id", "latitude", "longitude",
+                                   F.unix_millis("timestamp").alias("moved_at"))
 
 
 @query

@@ -81,6 +81,20 @@ def test_sources_keep_to_the_rules_of_scale():
         assert not re.search(r"\.collect\(\)", text), path.name
 
 
+def test_scalars(spark):
+    from pyspark.sql import functions as F
+
+    from kerbside.functions import scalars
+    moved = spark.range(500).select(scalars.jitter(F.lit(21.0), 7).alias("x")).agg(F.min("x"), F.max("x")).first()
+    assert 20.9995 <= moved[0] < 20.9997 and 21.0003 < moved[1] <= 21.0005
+    row = spark.sql("SELECT 12.1D AS a, CAST(NULL AS DOUBLE) AS b, 0D AS c, 'x' AS n, CAST(NULL AS STRING) AS m").select(
+        scalars.whole_metres(F.col("a")), scalars.whole_metres(F.col("b")), scalars.whole_metres(F.col("c")),
+        scalars.road_name(F.col("n")), scalars.road_name(F.col("m"))).first()
+    assert tuple(row) == (13, 0, 0, "x", scalars.UNNAMED_ROAD)
+    hit = spark.range(8).where(scalars.same_id(F.col("id"), " 7 "))
+    assert [r["id"] for r in hit.collect()] == [7]
+
+
 @pytest.mark.parametrize("pair", [(0.0, 179.9, 0.0, -179.9), (90.0, 0.0, -90.0, 0.0), (21.0, 105.8, 21.0, 105.8)])
 def test_haversine(spark, pair):
     from pyspark.sql import functions as F
