@@ -17,6 +17,7 @@ from kerbside.session import broadcast_if, materialise
 
 MODEL_CENTRES = 2_000   # up to here MLlib may hold all centres in every task
 MAX_ITER = 300          # fixed value: iterations of one fit
+GRIDS = (1, 2, 4, 8)    # cells per disc width of the grids that bound the cluster count
 TOLERANCE = 1e-4        # fixed value: movement of centres that ends a fit
 
 
@@ -97,33 +98,33 @@ def coverage_valid(shares: DataFrame, coverage_ratio: float) -> DataFrame:
 def fewest_clusters(points: DataFrame, max_distance: float, coverage_ratio: float) -> int:
     """A number of clusters below which the coverage constraint cannot hold.
 
-    Valid clusters keep a ``coverage_ratio`` of all points in discs around their centres.
-    On a grid of cells as wide as such a disc, a disc meets at most four cells, so the
-    fullest 4k cells bound what k clusters can reach.
+    Valid clusters keep a ``coverage_ratio`` of all points in discs around their centres. A
+    disc as wide as n cells of a grid meets at most (n + 1)^2 of them, so the fullest
+    (n + 1)^2 k cells bound what k clusters can reach. Coarse grids say most about scattered
+    points, fine ones about dense areas; the best bound counts.
     """
-    farthest = points.agg(F.max(F.abs(F.col("latitude")))).first()[0]
-    if farthest is None:
+    farthest, total = points.agg(F.max(F.abs(F.col("latitude"))), F.count("latitude")).first()
+    if not total:
         return 1
     reach = math.degrees(max_distance / geo.EARTH_RADIUS_M)
     if farthest + reach > 85 or reach <= 0:
         return 1     # near the poles a disc spans too many meridians for this grid
     height = 2.02 * reach
     width = height / math.cos(math.radians(farthest + reach))
-    sizes = points.groupBy(F.floor(F.col("latitude") / height), F.floor(F.col("longitude") / width)).agg(
+    n = F.col("n")
+    grids = points.select("latitude", "longitude", F.explode(F.array(*[F.lit(i) for i in GRIDS])).alias("n"))
+    sizes = grids.groupBy("n", F.floor(F.col("latitude") * n / height), F.floor(F.col("longitude") * n / width)).agg(
         F.count("*").alias("size"))
     # distinct sizes of disjoint cells number at most the root of twice the points
-    steps = sizes.groupBy("size").agg(F.count("*").alias("cells"))
-    upto = Window.orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, -1)
-    steps = steps.select("size", "cells",
-                         F.coalesce(F.sum(F.col("size") * F.col("cells")).over(upto), F.lit(0)).alias("held"),
-                         F.coalesce(F.sum("cells").over(upto), F.lit(0)).alias("used"))
-    total = steps.agg(F.max(F.col("held") + F.col("size") * F.col("cells"))).first()[0]
+    steps = sizes.groupBy("n", "size").agg(F.count("*").alias("cells"))
+    fuller = Window.partitionBy("n").orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, -1)
+    steps = steps.select("n", "size", "cells",
+                         F.coalesce(F.sum(F.col("size") * F.col("cells")).over(fuller), F.lit(0)).alias("held"),
+                         F.coalesce(F.sum("cells").over(fuller), F.lit(0)).alias("used"))
     wanted = coverage_ratio * total * (1 - 1e-9)
-    row = steps.where(F.col("held") < wanted).orderBy(F.desc("used")).first()
-    if row is None:
-        return 1
-    cells = row["used"] + math.ceil((wanted - row["held"]) / row["size"])
-    return max(1, math.ceil(cells / 4))
+    needed = F.col("used") + F.least("cells", F.ceil((wanted - F.col("held")) / F.col("size")))
+    bounds = steps.where(F.col("held") < wanted).groupBy("n").agg(F.max(needed).alias("needed"))
+    return max(1, bounds.agg(F.max(F.ceil(F.col("needed") / ((n + 1) * (n + 1))))).first()[0] or 1)
 
 
 def with_coverage(points: DataFrame, first_k: int, max_k: int, max_distance: float,

@@ -47,6 +47,14 @@ class Tables:
         target = self._path(name, versions[-1] + 1 if versions else 0)
         conform(name, df).write.mode("overwrite").parquet(target)
 
+    def prune(self, name: str, keep: int = 2) -> None:
+        """Delete all but the newest ``keep`` versions, with the logs laid over them."""
+        jvm = self.spark._jvm
+        for version in self._versions(name)[:-keep]:
+            for old in (self._path(name, version), f"{self.root}/{name}-{version}.log"):
+                path = jvm.org.apache.hadoop.fs.Path(old)
+                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def version(self, name: str) -> int:
         """Number of the current version; -1 before the first."""
         return (self._versions(name) or [-1])[-1]

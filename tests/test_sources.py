@@ -118,6 +118,10 @@ def test_tables_are_replaced_while_read_and_appended(spark, tmp_path):
     tables.append("assignments", pairs.where("student_id = 1"))
     assert sorted(map(tuple, tables.read("assignments").collect())) == [(1, 10), (2, 20)]
     assert tables.version("assignments") == 1
+    tables.log_batch("assignments-0", 0, pairs)
+    tables.prune("assignments", keep=1)
+    assert tables.read("assignments").count() == 2 and not (tmp_path / "assignments" / "v=0").exists()
+    assert not (tmp_path / "assignments-0.log").exists()
 
 
 def test_a_batch_written_again_replaces_itself(spark, tmp_path):
