@@ -42,7 +42,7 @@ def match_buses(stops: DataFrame, buses: DataFrame, assignments: DataFrame) -> D
     fleet = materialise(buses.select("bus_id", "latitude", "longitude", F.col("capacity").cast("long").alias("capacity")))
     # co-located stops differ in what they still accept, so they are not merged
     index = build_index(open_stops.select("stop_id", "latitude", "longitude"), ["stop_id"],
-                        searched_by=[fleet], merge_copies=False)
+                        searched_by=[fleet], merge_copies=False, stored=True)
     wanted = open_stops.select("stop_id", "demand")
     bus_columns = ["bus_id", "latitude", "longitude", "capacity"]
 

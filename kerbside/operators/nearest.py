@@ -89,11 +89,12 @@ def _bounds(df: DataFrame, metric: str) -> tuple[int, list[float], list[float]]:
 
 
 def build_index(right: DataFrame, ids: list[str], *, searched_by: list[DataFrame],
-                metric: str = "haversine", merge_copies: bool = True) -> PointIndex:
+                metric: str = "haversine", merge_copies: bool = True, stored: bool = False) -> PointIndex:
     """Index ``right`` (latitude, longitude, ``ids``) for searches from ``searched_by``.
 
     ``merge_copies`` keeps the lowest ``ids`` of equal positions; switch it off when the
-    copies differ in something a search has to look at.
+    copies differ in something a search has to look at. ``stored`` says that ``right`` is
+    cheap to read again, so that it need not be written for the passes over it.
     """
     right = right.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     right = right.select("latitude", "longitude", *ids)
@@ -102,7 +103,7 @@ def build_index(right: DataFrame, ids: list[str], *, searched_by: list[DataFrame
         right = right.groupBy("latitude", "longitude").agg(lowest.alias("lowest"))
         right = right.select("latitude", "longitude", *(
             [F.col("lowest").alias(ids[0])] if len(ids) == 1 else [F.col(f"lowest.{i}") for i in ids]))
-    right = materialise(right)
+    right = right if stored and not merge_copies else materialise(right)
     total, low, high = _bounds(right, metric)
     rlat = F.radians("latitude")
     prepared = right.select("*", rlat.alias("rlat"), F.radians("longitude").alias("rlng"),
@@ -295,7 +296,7 @@ def nearest_other(points: DataFrame, metric: str = "planar") -> DataFrame:
     alone = places.where("copies = 1").select("latitude", "longitude")
     # every place is its own id: only the distance is asked for
     right = places.select("latitude", "longitude", F.xxhash64("latitude", "longitude").alias("place"))
-    index = build_index(right, ["place"], searched_by=[], metric=metric, merge_copies=False)
+    index = build_index(right, ["place"], searched_by=[], metric=metric, merge_copies=False, stored=True)
     found = search(alone, index, other_than_self=True).select("latitude", "longitude", "distance")
     known = found.unionByName(places.where("copies > 1").select(
         "latitude", "longitude", F.lit(0.0).alias("distance")))
