@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,6 +50,19 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def store(df: DataFrame) -> DataFrame:
+    """Like :func:`materialise`, as a parquet table in the checkpoint folder.
+
+    Compressed and read by column, which suits large intermediates; the order of rows within
+    the table is not kept. The folder lasts as long as the checkpoints of the application.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def broadcast_if(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast when the measured row count allows it, else leave it to AQE."""
     return df.hint("broadcast") if rows <= limit else df
