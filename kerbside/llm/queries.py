@@ -5,10 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import mixing, packing, quality, simhash
+from kerbside.llm import caps, html, mixing, packing, quality, simhash, tokens
 from kerbside.llm.common import table
 
 
+def op1_spherical_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return caps.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html.extracted(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -25,11 +34,19 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = tokens.vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    return tokens.token_counts(table(spark, sf_dir, "documents"), pieces)
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "posterior")
 
 
-QUERIES = {f.__name__: f for f in (op3_packing, op4_simhash, op6_mixing, op8_quality)}
+QUERIES = {f.__name__: f for f in (
+    op1_spherical_caps, op2_html_text, op3_packing, op4_simhash, op6_mixing, op7_token_counts, op8_quality)}
 ORACLES: dict[str, str] = {}
