@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import caps, html, mixing, packing, quality, simhash, tokens
+from kerbside.llm import caps, html, lines, mixing, packing, quality, secrets, simhash, tokens
 from kerbside.llm.common import table
 
 
@@ -47,6 +47,19 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "posterior")
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    counts = [F.expr(f"cast(size(filter(found, s -> s.kind = {i})) AS bigint) AS n_{kind}")
+              for i, (kind, _, _) in enumerate(secrets.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(F.expr(secrets.digest("found", base=True)), 256).alias("base_sha256"),
+                        F.expr(secrets.digest("found", base=False)).alias("spans"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.classes(table(spark, sf_dir, "documents")).drop("text_key").withColumnRenamed("pos", "line")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_spherical_caps, op2_html_text, op3_packing, op4_simhash, op6_mixing, op7_token_counts, op8_quality)}
+    op1_spherical_caps, op2_html_text, op3_packing, op4_simhash, op6_mixing, op7_token_counts, op8_quality,
+    op9_secrets, op10_line_dedup)}
 ORACLES: dict[str, str] = {}
