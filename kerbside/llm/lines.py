@@ -1,8 +1,7 @@
 """Fuzzy line dedup by MinHash, in DataFrame operations only.
 
-A line's signature has one minimum for each of 32 ranges of hash values, over the hashes of its
-character shingles that begin at a word (at any character where words are long). Three ranges
-make a band. Lines that agree on a band are compared with the first line of that bucket and
+A line's signature are the minima, in 24 orders, of the hashes of its character shingles that
+begin at a word (at any character where words are long). Three minima make a band. Lines that agree on a band are compared with the first line of that bucket and
 with their neighbours in it, never all with all, by the exact Jaccard similarity of all their
 character shingles. Links found this way are closed by union-find over the cluster, and of
 every component the first line of the documents stays.
@@ -17,37 +16,50 @@ from pyspark.sql.window import Window
 from kerbside.operators.components import connected_components
 from kerbside.session import broadcast_if, store
 
-SHINGLE = 6
+SHINGLE = 10
+BANDS, ROWS = 8, 3
 SIMILARITY = 0.8
 NEIGHBOURS = 3
 BUCKET = 1000     # lines of a bucket that one window orders
 
 
-def _signature(line: str) -> str:
-    """SQL of the sorted hashes of a line's shingles."""
-    at_words, anywhere = f"(?s)(?<![^ ])(?=(.{{{SHINGLE}}}))", f"(?s)(?=(.{{{SHINGLE}}}))"
-    spaces = f"(length({line}) - length(replace({line}, ' ', '')))"
-    return (f"sort_array(transform(regexp_extract_all({line}, CASE WHEN length({line}) > 12 * (1 + {spaces})"
-            f" THEN '{anywhere}' ELSE '{at_words}' END, 1), s -> xxhash64(s)))")
+def _lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    given = docs.select(F.col(id_column).alias("__id"), F.col(text_column).cast("string").alias("text"))
+    return given.select("__id", F.xxhash64("text").alias("text_key"),
+                        F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
 
 
 def occurrences(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, text_key, pos, h, bands): each line of each row; blank lines have a null h."""
-    given = docs.select(F.col(id_column).alias("__id"), F.col(text_column).cast("string").alias("text"))
-    lines = given.select("__id", F.xxhash64("text").alias("text_key"),
-                         F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    hashed = lines.select("__id", "text_key", "pos", F.when(F.length(F.trim("line")) > 0, F.xxhash64("line")).alias("h"),
-                          F.expr(_signature("line")).alias("hashes"))
-    firsts = hashed.withColumn("firsts", F.expr(
-        "filter(hashes, (x, i) -> i = 0 OR shiftright(x, 59) <> shiftright(hashes[i - 1], 59))")).drop("hashes")
-    bands = F.expr("transform(filter(transform(sequence(0, 10), b -> filter(firsts, x -> (shiftright(x, 59) + 16)"
-                   " div 3 = b)), v -> size(v) > 0), v -> xxhash64(v))")
-    return firsts.withColumn("bands", bands).drop("firsts")
+    """(id, text_key, pos, h): each line of each row; blank lines have a null h."""
+    h = F.when(F.length(F.trim("line")) > 0, F.xxhash64("line"))
+    return _lines(docs, id_column, text_column).select("__id", "text_key", "pos", h.alias("h"))
+
+
+def signatures(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(h, m0, m1, ...): the minima of each different line that has a shingle.
+
+    Shingles are flattened to rows, hashed once and reduced to minima before the shuffle; the
+    k-th order of hashes is that of their exclusive or with the k-th constant.
+    """
+    at_words, anywhere = f"(?s) (?=(.{{{SHINGLE}}}))", f"(?s)(?=(.{{{SHINGLE}}}))"
+    pattern = f"CASE WHEN length(line) > 12 * (2 + length(line) - length(replace(line, ' ', ''))) THEN '{anywhere}' ELSE '{at_words}' END"
+    lines = _lines(docs, id_column, text_column).where(F.length("line") >= SHINGLE)
+    rows = lines.select(F.xxhash64("line").alias("h"), F.explode(
+        F.expr(f"regexp_extract_all(concat(' ', line), {pattern}, 1)")).alias("s"))
+    hashed = rows.select("h", F.xxhash64("s").alias("x"))
+    return hashed.groupBy("h").agg(*[F.min(F.expr(f"x ^ {_constant(k)}L")).alias(f"m{k}") for k in range(BANDS * ROWS)])
+
+
+def _constant(k: int) -> int:
+    """Well mixed numbers: multiples of the golden ratio, as signed 64-bit integers."""
+    value = (k + 1) * 0x9E3779B97F4A7C15 % 2 ** 64
+    return value - 2 ** 64 if value >= 2 ** 63 else value
 
 
 def candidates(distinct: DataFrame) -> DataFrame:
-    """(u, v): pairs of lines to compare, a number linear in the lines, from (h, bands)."""
-    banded = distinct.select("h", F.explode("bands").alias("band"))
+    """(u, v): pairs of lines to compare, a number linear in the lines, from signatures."""
+    bands = F.array(*[F.xxhash64(F.lit(b), *[f"m{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)])
+    banded = distinct.select("h", F.explode(bands).alias("band"))
     buckets = store(banded.groupBy("band").agg(
         F.min("h").alias("low"), F.max("h").alias("high"), F.count("*").alias("n")).where("n > 1"))
     two = buckets.where("n = 2").select(F.col("low").alias("u"), F.col("high").alias("v"))
@@ -90,18 +102,16 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, id_column: str = "d
     columns are not read. An empty table gives an empty one.
     """
     found = store(occurrences(docs, id_column, text_column))
-    distinct = found.where("h IS NOT NULL").groupBy("h").agg(F.first("bands").alias("bands"))
-    pairs = store(candidates(distinct))
+    pairs = store(candidates(store(signatures(docs, id_column, text_column))))
     components = connected_components(similar(docs, pairs, similarity, text_column))
     components = components.withColumnsRenamed({"node": "h", "component": "c"})
-    placed = found.select("__id", "text_key", "pos", "h")
     own = F.struct("__id", "pos", "text_key")
-    by_line = placed.where("h IS NOT NULL").groupBy("h").agg(F.min(own).alias("first"), F.count("*").alias("n"))
+    by_line = found.where("h IS NOT NULL").groupBy("h").agg(F.min(own).alias("first"), F.count("*").alias("n"))
     named = store(by_line.join(components, "h", "left").withColumn("c", F.coalesce("c", "h")))
     groups = named.groupBy("c").agg(F.min("first").alias("first"), F.sum("n").alias("n")).where("n > 1")
     repeated = store(named.select("h", "c").join(groups.drop("n"), "c").drop("c"))
     # a line that a third of all documents hold meets one row
-    joined = placed.join(broadcast_if(repeated, repeated.count()), "h", "left")
+    joined = found.join(broadcast_if(repeated, repeated.count()), "h", "left")
     first = F.coalesce("first", own)
     return joined.select(
         F.col("__id").alias(id_column), "text_key", "pos", first["__id"].alias("first_id"),
