@@ -56,10 +56,10 @@ def _constant(k: int) -> int:
     return value - 2 ** 64 if value >= 2 ** 63 else value
 
 
-def candidates(distinct: DataFrame) -> DataFrame:
+def candidates(signed: DataFrame) -> DataFrame:
     """(u, v): pairs of lines to compare, a number linear in the lines, from signatures."""
     bands = F.array(*[F.xxhash64(F.lit(b), *[f"m{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)])
-    banded = distinct.select("h", F.explode(bands).alias("band"))
+    banded = store(signed.select("h", bands.alias("bands"))).select("h", F.explode("bands").alias("band"))
     buckets = store(banded.groupBy("band").agg(
         F.min("h").alias("low"), F.max("h").alias("high"), F.count("*").alias("n")).where("n > 1"))
     two = buckets.where("n = 2").select(F.col("low").alias("u"), F.col("high").alias("v"))
@@ -79,16 +79,14 @@ def similar(docs: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY, t
     lines = docs.select(F.explode(F.split(F.col(text_column).cast("string"), "\n", -1)).alias("line")).withColumn(
         "h", F.xxhash64("line"))
     texts = lines.join(broadcast_if(needed, needed.count()), "h").groupBy("h").agg(F.first("line").alias("line"))
-    shingles = F.array_distinct(F.expr(f"regexp_extract_all(line, '(?s)(?=(.{{{SHINGLE}}}))', 1)"))
-    texts = store(texts.select("h", shingles.alias("s")))
-    one, other = texts.select(F.col("h").alias("u"), F.col("s").alias("a")), texts.select(
-        F.col("h").alias("v"), F.col("s").alias("b"))
-    # sizes too far apart cannot be similar, whatever is in the sets
-    met = pairs.join(one, "u").join(other, "v").where(
-        F.least(F.size("a"), F.size("b")) >= similarity * F.greatest(F.size("a"), F.size("b")))
-    shared = F.size(F.array_intersect("a", "b"))
-    return met.withColumn("shared", shared).where(
-        F.col("shared") >= similarity * (F.size("a") + F.size("b") - F.col("shared"))).select("u", "v")
+    texts = store(texts)
+    one, other = texts.select(F.col("h").alias("u"), F.col("line").alias("a")), texts.select(
+        F.col("h").alias("v"), F.col("line").alias("b"))
+    sets = pairs.join(one, "u").join(other, "v").select("u", "v", *[F.array_distinct(F.expr(
+        f"regexp_extract_all({c}, '(?s)(?=(.{{{SHINGLE}}}))', 1)")).alias(c) for c in ("a", "b")])
+    counted = sets.select("u", "v", F.size("a").alias("a"), F.size("b").alias("b"),
+                          F.size(F.array_intersect("a", "b")).alias("shared"))
+    return counted.where(F.col("shared") >= similarity * (F.col("a") + F.col("b") - F.col("shared"))).select("u", "v")
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY, id_column: str = "doc_id",
@@ -102,7 +100,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, id_column: str = "d
     columns are not read. An empty table gives an empty one.
     """
     found = store(occurrences(docs, id_column, text_column))
-    pairs = store(candidates(store(signatures(docs, id_column, text_column))))
+    pairs = store(candidates(signatures(docs, id_column, text_column)))
     components = connected_components(similar(docs, pairs, similarity, text_column))
     components = components.withColumnsRenamed({"node": "h", "component": "c"})
     own = F.struct("__id", "pos", "text_key")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import caps, html, lines, mixing, packing, quality, secrets, simhash, tokens
+from kerbside.llm import caps, html, lines, mixing, packing, quality, secrets, simhash, tokens, warc
 from kerbside.llm.common import table
 
 
@@ -30,6 +30,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
@@ -60,6 +64,6 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_spherical_caps, op2_html_text, op3_packing, op4_simhash, op6_mixing, op7_token_counts, op8_quality,
+    op1_spherical_caps, op2_html_text, op3_packing, op4_simhash, op5_warc_derivatives, op6_mixing, op7_token_counts, op8_quality,
     op9_secrets, op10_line_dedup)}
 ORACLES: dict[str, str] = {}

@@ -45,16 +45,16 @@ def simhash(text: bytes, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, fp): the fingerprint of each row's whole text as a 64-bit integer."""
+    """(id, text_key, fp): the fingerprint of each row's whole text as a 64-bit integer."""
     def hashed(frames: Iterator) -> Iterator:
-        import pandas as pd
-
         for frame in frames:
-            yield pd.DataFrame({"key": frame["key"], "fp": [simhash(text) for text in frame["text"]]})
+            frame["fp"] = [simhash(text) for text in frame["text"]]
+            yield frame[["key", "text_key", "fp"]]
 
     kind = docs.schema[id_column].dataType.simpleString()
-    given = small_batches(docs).select(F.col(id_column).alias("key"), text_bytes(text_column).alias("text"))
-    return given.mapInPandas(hashed, f"key {kind}, fp long").withColumnRenamed("key", id_column)
+    given = small_batches(docs).select(F.col(id_column).alias("key"), F.xxhash64(text_column).alias("text_key"),
+                                       text_bytes(text_column).alias("text"))
+    return given.mapInPandas(hashed, f"key {kind}, text_key long, fp long").withColumnRenamed("key", id_column)
 
 
 def tree_links(values: list[int], radius: int = RADIUS) -> list[int]:
@@ -144,18 +144,35 @@ def linked(values: DataFrame, radius: int = RADIUS, limit: int = SHARD) -> DataF
     return connected_components(shards.mapInPandas(search, "u long, v long"))
 
 
+def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """(__id, text_key, fp, first): ``first`` is the least id and text of the component, null last."""
+    hashed = store(fingerprints(docs, id_column, text_column).withColumnRenamed(id_column, "__id"))
+    own = F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("text_key").alias("key"))
+    least = store(hashed.groupBy("fp").agg(F.min(own).alias("least")))
+    groups = linked(least.select("fp")).withColumnRenamed("node", "fp")
+    named = least.join(groups, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    roots = named.groupBy("component").agg(F.min("least").alias("first"))
+    by_value = store(named.join(roots, "component").select("fp", "first"))
+    return hashed.join(by_value, "fp")
+
+
 def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, fp, component_id): one row per row of ``docs``; a component is named after the
     smallest id that links reach.
 
     Null and empty texts have fingerprint zero and link like any other. Repeated rows and ids
-    give a row each; null ids name no component unless no other is reached. Other columns are
-    not read. An empty table gives an empty one.
+    give a row each; a component of null ids alone has no name. Other columns are not read. An
+    empty table gives an empty one.
     """
-    hashed = store(fingerprints(docs, id_column, text_column).withColumnRenamed(id_column, "__id"))
-    least = store(hashed.groupBy("fp").agg(F.min("__id").alias("least")))
-    groups = linked(least.select("fp")).withColumnRenamed("node", "fp")
-    named = least.join(groups, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    roots = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_value = store(named.join(roots, "component").select("fp", "component_id"))
-    return hashed.join(by_value, "fp").select(F.col("__id").alias(id_column), "fp", "component_id")
+    found = _grouped(docs, id_column, text_column)
+    return found.select(F.col("__id").alias(id_column), "fp", F.col("first.id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: the one of the least id, and of equal ids of the
+    least text key. Of rows that repeat both, one stays."""
+    found = _grouped(docs, id_column, text_column)
+    kept = found.select(F.col("first.id").alias("__id"), F.col("first.key").alias("__key")).distinct()
+    keyed = docs.withColumn("__text_key", F.xxhash64(text_column))
+    rows = keyed.join(kept, F.col(id_column).eqNullSafe(F.col("__id")) & (F.col("__text_key") == F.col("__key")))
+    return rows.dropDuplicates([id_column, "__text_key"]).drop("__id", "__key", "__text_key")
