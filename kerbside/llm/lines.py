@@ -82,11 +82,13 @@ def similar(docs: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY, t
     texts = store(texts)
     one, other = texts.select(F.col("h").alias("u"), F.col("line").alias("a")), texts.select(
         F.col("h").alias("v"), F.col("line").alias("b"))
-    sets = pairs.join(one, "u").join(other, "v").select("u", "v", *[F.array_distinct(F.expr(
-        f"regexp_extract_all({c}, '(?s)(?=(.{{{SHINGLE}}}))', 1)")).alias(c) for c in ("a", "b")])
-    counted = sets.select("u", "v", F.size("a").alias("a"), F.size("b").alias("b"),
-                          F.size(F.array_intersect("a", "b")).alias("shared"))
-    return counted.where(F.col("shared") >= similarity * (F.col("a") + F.col("b") - F.col("shared"))).select("u", "v")
+    sets = F.array(F.struct(*[F.array_distinct(F.transform(F.expr(
+        f"regexp_extract_all({c}, '(?s)(?=(.{{{SHINGLE}}}))', 1)"), F.xxhash64)).alias(c) for c in ("a", "b")]))
+    # one expression, so that a filter which is moved does not compute the sets again
+    sizes = F.transform(sets, lambda p: F.struct(
+        F.size(p["a"]).alias("a"), F.size(p["b"]).alias("b"), F.size(F.array_intersect(p["a"], p["b"])).alias("both")))
+    alike = F.exists(sizes, lambda n: n["both"] >= similarity * (n["a"] + n["b"] - n["both"]))
+    return pairs.join(one, "u").join(other, "v").where(alike).select("u", "v")
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY, id_column: str = "doc_id",
