@@ -39,7 +39,8 @@ def tokenised(docs: DataFrame, tokenizer: str, length: int = LENGTH, id_column:
         words = _Words(tokenizer)
         for frame in frames:
             rows = []
-            texts = [text.split() for text in frame["text"]]
+            # the tokenizer lowers letters; only its special strings are told apart by case
+            texts = [(text if b"<|" in text else text.lower()).split() for text in frame["text"]]
             words.learn(texts)
             for key, text in zip(frame["key"], texts):
                 ids = words.ids(text)
@@ -92,8 +93,10 @@ class _Words:
 
         texts = [w.decode("utf-8", "replace") for w in words]
         plain = [w for w in texts if "<|" not in w]
-        counts = [len(self.units.findall(unicodedata.normalize("NFC", w).lower())) for w in plain]
-        ids = np.array(self.tokenizer.encode(" ".join(plain), add_special_tokens=False).ids, "<u4")
+        units, normal = self.units.findall, unicodedata.normalize
+        counts = [1 if w.isalpha() else len(units(normal("NFC", w).lower())) for w in plain]
+        joined = self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0]
+        ids = np.array(joined.ids, "<u4")
         last = np.flatnonzero(self.ends[ids])
         if len(plain) < len(texts) or len(last) != sum(counts):   # rare: special or uncommon characters
             for word, text in zip(words, texts):
