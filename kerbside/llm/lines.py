@@ -83,7 +83,7 @@ def similar(docs: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY, t
     one, other = texts.select(F.col("h").alias("u"), F.col("line").alias("a")), texts.select(
         F.col("h").alias("v"), F.col("line").alias("b"))
     sets = F.array(F.struct(*[F.array_distinct(F.transform(F.expr(
-        f"regexp_extract_all({c}, '(?s)(?=(.{{{SHINGLE}}}))', 1)"), F.xxhash64)).alias(c) for c in ("a", "b")]))
+        f"regexp_extract_all({c}, '(?s)(?=(.{{{SHINGLE}}}))', 1)"), lambda s: F.xxhash64(s))).alias(c) for c in ("a", "b")]))
     # one expression, so that a filter which is moved does not compute the sets again
     sizes = F.transform(sets, lambda p: F.struct(
         F.size(p["a"]).alias("a"), F.size(p["b"]).alias("b"), F.size(F.array_intersect(p["a"], p["b"])).alias("both")))
