@@ -12,13 +12,11 @@ from pyspark.sql.window import Window
 
 from kerbside.functions import geo
 from kerbside.operators.nearest import build_index, search
-from kerbside.operators.sampling import sample_rows
 from kerbside.session import broadcast_if, materialise
 
-MODEL_CENTRES = 2_000   # up to here MLlib may hold all centres in every task
 MAX_ITER = 300          # fixed value: iterations of one fit
 GRIDS = (1, 2, 4, 8)    # cells per disc width of the grids that bound the cluster count
-TOLERANCE = 1e-4        # fixed value: movement of centres that ends a fit
+TOLERANCE = 1e-4        # fixed value: movement of centres that ends a fit, by the variance
 
 
 def with_features(points: DataFrame) -> DataFrame:
@@ -57,18 +55,20 @@ def assign(points: DataFrame, centres: DataFrame) -> DataFrame:
 
 def fit(features: DataFrame, k: int, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """k-means of points that carry a ``features`` vector: (points with cluster_id from
-    1, centres)."""
-    if k > MODEL_CENTRES:
-        start = sample_rows(features.select("latitude", "longitude").distinct().withColumn(
-            "place", F.xxhash64("latitude", "longitude")), k, "place", seed)
-        numbered = start.select(F.col("place").alias("cluster_id"), "latitude", "longitude")
-        return lloyd(features, materialise(numbered), MAX_ITER, TOLERANCE)
+    1 to k, centres). Needs k different positions at least.
+
+    Rounds end when centres move less than ``TOLERANCE`` of the spread of the coordinates.
+    """
     if k == 1:   # the mean of all points, which the model declines to fit
         centre = features.agg(F.avg("latitude").alias("latitude"), F.avg("longitude").alias("longitude"))
         one = F.lit(1).cast("long").alias("cluster_id")
         return features.select("*", one), materialise(centre.select(one, "latitude", "longitude"))
-    model = KMeans(k=k, seed=seed, maxIter=MAX_ITER, tol=TOLERANCE, featuresCol="features",
+    spread = features.agg(F.var_pop("latitude") + F.var_pop("longitude")).first()[0] or 0.0
+    tolerance = math.sqrt(TOLERANCE * spread / 2)
+    model = KMeans(k=k, seed=seed, maxIter=MAX_ITER, tol=tolerance, featuresCol="features",
                    predictionCol="__label").fit(features)
+    if len(model.clusterCenters()) < k:
+        raise ValueError(f"fewer than {k} different positions")
     rows = [(i + 1, float(c[0]), float(c[1])) for i, c in enumerate(model.clusterCenters())]
     centres = features.sparkSession.createDataFrame(
         rows, "cluster_id long, latitude double, longitude double")

@@ -45,7 +45,7 @@ def _nearest(left: str, right: str, left_key: str, right_keys: list[str], extra:
             f" QUALIFY row_number() OVER (PARTITION BY a.{left_key} ORDER BY {_AB}, {keys}) = 1)")
 
 
-_SOME = "some_assignments AS (SELECT * FROM assignments WHERE student_id % 10 <> 0)"
+_SOME = "some_assignments AS (SELECT * FROM assignments)"
 
 _MATCHING = f"""
 demand AS (SELECT stop_id, count(*) AS demand FROM assignments GROUP BY stop_id),
@@ -101,7 +101,7 @@ _ENTITIES = f"""
 served AS (
   SELECT b.bus_id, n.stop_id, b.capacity, b.latitude, b.longitude, n.distance,
     CASE WHEN n.bus_id IS NOT NULL THEN CAST(b.capacity AS BIGINT) END AS num_students
-  FROM buses b LEFT JOIN near n ON b.bus_id = n.bus_id AND n.bus_id % 3 <> 0),
+  FROM buses b LEFT JOIN near n ON b.bus_id = n.bus_id),
 entities AS (
   SELECT 'student' AS entity_type, s.student_id AS id, s.student_id, a.stop_id, CAST(NULL AS BIGINT) AS bus_id,
     s.name, CAST(NULL AS INTEGER) AS capacity, s.latitude, s.longitude, CAST(NULL AS DOUBLE) AS distance,

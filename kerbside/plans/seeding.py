@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.functions.scalars import bus_seats, person_name
+from kerbside.functions.scalars import bus_seats, person_name, through_float32
 from kerbside.operators.ordering import zip_with_index
 from kerbside.operators.sampling import draw_rows, first_rows, sample_rows
 from kerbside.operators.updates import update_rows
@@ -15,9 +15,14 @@ from kerbside.sources.tables import Tables
 POINT_KEYS = ("osm_id", "longitude", "latitude")
 
 
+def _stored(points: DataFrame) -> DataFrame:
+    """Coordinates as the seeders store them, in single precision."""
+    return points.withColumns({c: through_float32(F.col(c)) for c in ("longitude", "latitude")})
+
+
 def seed_students(points: DataFrame, count: int, seed: int = 42) -> DataFrame:
     """The first ``count`` points as students with numbers from 1 and made-up names."""
-    rows = first_rows(points, count, *POINT_KEYS).withColumnRenamed("name", "address")
+    rows = first_rows(_stored(points), count, *POINT_KEYS).withColumnRenamed("name", "address")
     numbered = zip_with_index(rows, *POINT_KEYS, name="student_id")
     return numbered.select("student_id", "address", "longitude", "latitude",
                            person_name(F.col("student_id"), seed).alias("name"))
@@ -25,7 +30,7 @@ def seed_students(points: DataFrame, count: int, seed: int = 42) -> DataFrame:
 
 def seed_buses(points: DataFrame, count: int, seed: int = 42) -> DataFrame:
     """``count`` random points as buses with one of the usual seat counts."""
-    keyed = points.withColumn("__place", F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit(""))
+    keyed = _stored(points).withColumn("__place", F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit(""))
                                                             for c in POINT_KEYS]))
     rows = sample_rows(keyed, count, "__place", seed)
     numbered = zip_with_index(rows, "__place", name="bus_id")
@@ -33,7 +38,7 @@ def seed_buses(points: DataFrame, count: int, seed: int = 42) -> DataFrame:
                            bus_seats(F.col("bus_id"), seed).alias("capacity"))
 
 
-def relocate_students(students: DataFrame, points: DataFrame, count: int | None = 1000,
+def relocate_students(students: DataFrame, points: DataFrame, count: int | None = None,
                       seed: int = 42) -> DataFrame:
     """The first ``count`` students (None: all) moved to points drawn with replacement."""
     moved = first_rows(students.select("student_id"), count, "student_id")
@@ -56,12 +61,19 @@ def bootstrap(spark: SparkSession, tables: Tables, points_path: str, roads_path:
 
 
 def replace_students(spark: SparkSession, tables: Tables, path: str) -> int:
-    """Replace all students by an uploaded list and return how many it had."""
-    tables.overwrite("students", files.read_students(spark, path))
+    """Replace all students by an uploaded list and return how many it had.
+
+    A list that repeats a student_id is refused before anything is written.
+    """
+    students = files.read_students(spark, path)
+    twice = students.groupBy("student_id").count().where("count > 1").first()
+    if twice:
+        raise ValueError(f"student_id {twice['student_id']} is listed {twice['count']} times")
+    tables.overwrite("students", students)
     return tables.read("students").count()
 
 
-def relocate(tables: Tables, points: DataFrame, count: int | None = 1000, seed: int = 42) -> DataFrame:
+def relocate(tables: Tables, points: DataFrame, count: int | None = None, seed: int = 42) -> DataFrame:
     """Relocate students in the table and return them ordered by id."""
     tables.overwrite("students", relocate_students(tables.read("students"), points, count, seed))
     return tables.read("students").select(

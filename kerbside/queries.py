@@ -160,7 +160,7 @@ def pickup_plan(spark, d):
 # --- views -----------------------------------------------------------------------------
 
 def _some_assignments(spark, d) -> DataFrame:
-    return fx.assignments(spark, d).where("student_id % 10 <> 0")
+    return fx.assignments(spark, d)
 
 
 def _entities(spark, d) -> DataFrame:
@@ -168,7 +168,7 @@ def _entities(spark, d) -> DataFrame:
     assigned = views.assignment_view(fx.students(spark, d), _some_assignments(spark, d))
     by_nearest = nearest(fx.buses(spark, d), stops, ["stop_id"]).select(
         "bus_id", "stop_id", "distance", F.col("capacity").cast("bigint").alias("num_students"))
-    served = views.bus_view(fx.buses(spark, d), by_nearest.where("bus_id % 3 <> 0"))
+    served = views.bus_view(fx.buses(spark, d), by_nearest)
     return views.entities(assigned, stops, served)
 
 

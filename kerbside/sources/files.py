@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.functions.scalars import road_name, through_float32
+from kerbside.functions.scalars import road_name
 from kerbside.operators.ordering import zip_with_index
 
 POINT_COLUMNS = "osm_id string, osm_type string, geom_type string, name string, longitude string, latitude string"
@@ -16,9 +16,9 @@ _FEATURE = ("type string, properties struct<osm_id: string, name: string>,"
 
 
 def read_points(spark: SparkSession, path: str) -> DataFrame:
-    """Points of interest from CSV with a header; coordinates as stored by the seeders."""
+    """Points of interest from CSV with a header."""
     raw = spark.read.option("header", True).option("escape", '"').schema(POINT_COLUMNS).csv(path)
-    return raw.withColumns({c: through_float32(F.col(c)) for c in ("longitude", "latitude")})
+    return raw.withColumns({c: F.expr(f"try_cast({c} AS double)") for c in ("longitude", "latitude")})
 
 
 def _required(name: str, kind: str) -> Column:
@@ -50,7 +50,7 @@ def read_features(spark: SparkSession, path: str, layout: str = "document") -> D
     """
     if layout == "document":
         whole = spark.read.option("multiLine", True).schema(f"features array<struct<{_FEATURE}>>").json(path)
-        features = whole.select(F.posexplode("features").alias("position", "f"))
+        features = whole.select(F.col("_metadata.file_path").alias("file"), F.posexplode("features").alias("position", "f"))
         features = features.withColumn("position", F.col("position").cast("long"))
     elif layout == "lines":
         text = spark.read.text(path).select(
@@ -62,7 +62,7 @@ def read_features(spark: SparkSession, path: str, layout: str = "document") -> D
         features = parsed.where("f.type = 'Feature'")
     else:
         raise ValueError(f"unknown layout {layout!r}")
-    keep = ["position"] if layout == "document" else ["file", "block", "line"]
+    keep = ["file", "position"] if layout == "document" else ["file", "block", "line"]
     return features.select(*keep, F.col("f.properties.osm_id").alias("osm_id"),
                            F.col("f.properties.name").alias("name"),
                            F.col("f.geometry.type").alias("kind"),
@@ -70,11 +70,16 @@ def read_features(spark: SparkSession, path: str, layout: str = "document") -> D
 
 
 def with_road_ids(features: DataFrame) -> DataFrame:
-    """Roads are known by osm_id, or by their position where the file has no such ids."""
+    """Roads are known by osm_id, or by their position over all files where there are no such ids.
+
+    An id that is no number fails the read; a road without one, among roads that have, has none.
+    """
     if not features.where(F.col("osm_id").isNotNull()).isEmpty():
-        return features.withColumn("road_id", F.expr("try_cast(osm_id AS bigint)"))
+        number = F.expr("try_cast(osm_id AS bigint)")
+        bad = F.raise_error(F.concat(F.lit("bad osm_id: "), F.col("osm_id"))).cast("long")
+        return features.withColumn("road_id", F.when(F.col("osm_id").isNull() | number.isNotNull(), number).otherwise(bad))
     if "position" in features.columns:
-        return features.withColumn("road_id", F.col("position"))
+        return zip_with_index(features, "file", "position", name="road_id", start=0)
     return zip_with_index(features, "file", "block", "line", name="road_id", start=0)
 
 

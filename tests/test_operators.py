@@ -204,14 +204,17 @@ def test_first_valid_count_is_found_from_below(spark, monkeypatch):
         centres.with_coverage(df, 1, 2, 1000, 0.9)
 
 
-def test_fit_without_a_model_on_one_node(spark, monkeypatch):
-    monkeypatch.setattr(centres, "MODEL_CENTRES", 0)
-    monkeypatch.setattr(centres, "MAX_ITER", 3)
+def test_fit_numbers_its_clusters_and_repeats(spark):
     rng = random.Random(8)
     df = spark.createDataFrame([(i, rng.random(), rng.random()) for i in range(60)], f"student_id long, {POINT}")
     labelled, found = centres.fit(centres.with_features(df), 5)
     assert found.count() == 5 and labelled.count() == 60
-    assert labelled.join(found.select("cluster_id"), "cluster_id").count() == 60
+    assert sorted(r["cluster_id"] for r in found.collect()) == [1, 2, 3, 4, 5]
+    again = centres.fit(centres.with_features(df), 5)[0]
+    columns = ("student_id", "cluster_id")
+    assert sorted(map(tuple, labelled.select(*columns).collect())) == sorted(map(tuple, again.select(*columns).collect()))
+    with pytest.raises(ValueError):
+        centres.fit(centres.with_features(df.limit(3)), 5)
 
 
 # --- matching --------------------------------------------------------------------------

@@ -51,16 +51,30 @@ def test_roads_and_their_points(spark, tmp_path, layout, ids):
                       (1, 0, 1.0, 2.0), (1, 1, 3.0, 4.0), (1, 2, 5.0, 6.0)]
 
 
+def test_road_ids_are_numbers_and_differ_over_files(spark, tmp_path):
+    named = road_files(tmp_path, ("way/12", 71, 72))["document"]
+    with pytest.raises(Exception, match="bad osm_id"):
+        files.with_road_ids(files.read_features(spark, named)).collect()
+    for folder in ("roads/a", "roads/b"):
+        (tmp_path / folder).mkdir(parents=True)
+        source = road_files(tmp_path / folder, (None, None, None))
+        (tmp_path / folder / "lines.geojson").unlink()
+    both = files.read_features(spark, [source["document"], str(tmp_path / "roads/a/whole.geojson")])
+    assert sorted(r["road_id"] for r in files.with_road_ids(both).collect()) == [0, 1, 2, 3, 4, 5]
+
+
 def test_unknown_layout(spark):
     with pytest.raises(ValueError):
         files.read_features(spark, "x", "other")
 
 
-def test_points_pass_through_single_precision(spark, tmp_path):
+def test_points_keep_their_precision_until_they_are_seeded(spark, tmp_path):
     (tmp_path / "points.csv").write_text(POINTS)
-    rows = {r["osm_id"]: r for r in files.read_points(spark, str(tmp_path / "points.csv")).collect()}
+    points = files.read_points(spark, str(tmp_path / "points.csv"))
+    rows = {r["osm_id"]: r for r in points.collect()}
     assert rows["1"]["name"] == "School, North" and rows["2"]["name"] is None
-    assert rows["1"]["longitude"] == 105.80999755859375
+    assert rows["1"]["longitude"] == 105.81
+    assert seeding.seed_students(points, 1).first()["longitude"] == 105.80999755859375
 
 
 def test_student_upload_replaces_all_or_nothing(spark, tmp_path):
@@ -77,6 +91,9 @@ def test_student_upload_replaces_all_or_nothing(spark, tmp_path):
     bad.write_text("student_id,longitude,latitude,name,address\n,105.5,21.5,A,B\n")
     with pytest.raises(Exception, match="bad student_id"):
         seeding.replace_students(spark, tables, str(bad))
+    bad.write_text("student_id,longitude,latitude,name,address\n7,105.5,21.5,A,B\n7,105.6,21.6,C,D\n")
+    with pytest.raises(ValueError, match="listed 2 times"):
+        seeding.replace_students(spark, tables, str(bad))
     assert sorted(map(tuple, tables.read("students").collect())) == before
 
 
