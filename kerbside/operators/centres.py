@@ -53,7 +53,13 @@ def assign(points: DataFrame, centres: DataFrame) -> DataFrame:
     return search(points, index).select(*points.columns, "cluster_id")
 
 
-def fit(features: DataFrame, k: int, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+def scaled_tolerance(points: DataFrame) -> float:
+    """The distance whose square is ``TOLERANCE`` of the mean variance of the coordinates."""
+    spread = points.agg(F.var_pop("latitude") + F.var_pop("longitude")).first()[0] or 0.0
+    return math.sqrt(TOLERANCE * spread / 2)
+
+
+def fit(features: DataFrame, k: int, seed: int = 42, tolerance: float | None = None) -> tuple[DataFrame, DataFrame]:
     """k-means of points that carry a ``features`` vector: (points with cluster_id from
     1 to k, centres). Needs k different positions at least.
 
@@ -63,8 +69,8 @@ def fit(features: DataFrame, k: int, seed: int = 42) -> tuple[DataFrame, DataFra
         centre = features.agg(F.avg("latitude").alias("latitude"), F.avg("longitude").alias("longitude"))
         one = F.lit(1).cast("long").alias("cluster_id")
         return features.select("*", one), materialise(centre.select(one, "latitude", "longitude"))
-    spread = features.agg(F.var_pop("latitude") + F.var_pop("longitude")).first()[0] or 0.0
-    tolerance = math.sqrt(TOLERANCE * spread / 2)
+    if tolerance is None:
+        tolerance = scaled_tolerance(features)
     model = KMeans(k=k, seed=seed, maxIter=MAX_ITER, tol=tolerance, featuresCol="features",
                    predictionCol="__label").fit(features)
     if len(model.clusterCenters()) < k:
@@ -136,8 +142,9 @@ def with_coverage(points: DataFrame, first_k: int, max_k: int, max_distance: flo
     """
     features = with_features(points).persist()
     try:
+        tolerance = scaled_tolerance(features)
         for k in range(max(first_k, 1, fewest_clusters(points, max_distance, coverage_ratio)), max_k + 1):
-            labelled, centres = fit(features, k, seed)
+            labelled, centres = fit(features, k, seed, tolerance)
             if coverage_valid(coverage(labelled, centres, max_distance), coverage_ratio).first()[0]:
                 return k, materialise(labelled.drop("features")), centres
     finally:
