@@ -1,17 +1,18 @@
 """Fuzzy line dedup by MinHash, in DataFrame operations only.
 
 A line's signature are the minima, in 24 orders, of the hashes of its character shingles that
-begin at a word (at any character where words are long). Three minima make a band. Lines that agree on a band are compared with the first line of that bucket and
-with their neighbours in it, never all with all, by the exact Jaccard similarity of all their
-character shingles. Links found this way are closed by union-find over the cluster, and of
-every component the first line of the documents stays.
+begin at a word (at any character where words are long). Three minima make a band. The lines of
+a bucket, which agree on a band, are first compared with the first of them by the exact Jaccard
+similarity of all their character shingles, and the links closed by union-find over the
+cluster. Where a bucket still holds several components, its lines are compared across them, in
+blocks, so that nothing is left out and no pair is formed within a component. Of every component
+the first line of the documents stays.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from kerbside.operators.components import connected_components
 from kerbside.session import broadcast_if, store
@@ -19,8 +20,8 @@ from kerbside.session import broadcast_if, store
 SHINGLE = 10
 BANDS, ROWS = 8, 3
 SIMILARITY = 0.8
-NEIGHBOURS = 3
-BUCKET = 1000     # lines of a bucket that one window orders
+AGREE = 8         # common minima below which no pair of 0.8 falls but once in ten million
+BLOCK = 128       # lines of a bucket that one row gathers, on average
 
 
 def _lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -35,7 +36,7 @@ def occurrences(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     return _lines(docs, id_column, text_column).select("__id", "text_key", "pos", h.alias("h"))
 
 
-def signatures(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def signatures(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """(h, m0, m1, ...): the minima of each different line that has a shingle.
 
     Shingles are flattened to rows, hashed once and reduced to minima before the shuffle; the
@@ -43,7 +44,8 @@ def signatures(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     """
     at_words, anywhere = f"(?s) (?=(.{{{SHINGLE}}}))", f"(?s)(?=(.{{{SHINGLE}}}))"
     pattern = f"CASE WHEN length(line) > 12 * (2 + length(line) - length(replace(line, ' ', ''))) THEN '{anywhere}' ELSE '{at_words}' END"
-    lines = _lines(docs, id_column, text_column).where(F.length("line") >= SHINGLE)
+    lines = docs.select(F.explode(F.split(F.col(text_column).cast("string"), "\n", -1)).alias("line")).where(
+        F.length("line") >= SHINGLE)
     rows = lines.select(F.xxhash64("line").alias("h"), F.explode(
         F.expr(f"regexp_extract_all(concat(' ', line), {pattern}, 1)")).alias("s"))
     hashed = rows.select("h", F.xxhash64("s").alias("x"))
@@ -56,30 +58,53 @@ def _constant(k: int) -> int:
     return value - 2 ** 64 if value >= 2 ** 63 else value
 
 
-def candidates(signed: DataFrame) -> DataFrame:
-    """(u, v): pairs of lines to compare, a number linear in the lines, from signatures."""
+def buckets(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(u, v): each line with the first of its buckets; (h, band, n): lines in buckets of over two."""
     bands = F.array(*[F.xxhash64(F.lit(b), *[f"m{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)])
     banded = store(signed.select("h", bands.alias("bands"))).select("h", F.explode("bands").alias("band"))
-    buckets = store(banded.groupBy("band").agg(
+    counted = store(banded.groupBy("band").agg(
         F.min("h").alias("low"), F.max("h").alias("high"), F.count("*").alias("n")).where("n > 1"))
-    two = buckets.where("n = 2").select(F.col("low").alias("u"), F.col("high").alias("v"))
-    more = buckets.where("n > 2").select("band", "low", "n")
-    members = banded.join(broadcast_if(more, more.count()), "band")
-    dealt = members.withColumn("part", F.pmod(F.xxhash64("h"), F.ceil(F.col("n") / BUCKET)))
-    row = Window.partitionBy("band", "part").orderBy("h")
-    near = dealt.select("h", F.array("low", *[F.lead("h", k).over(row) for k in range(1, NEIGHBOURS + 1)]).alias("o"))
-    pairs = near.select("h", F.explode("o").alias("o")).where("o IS NOT NULL AND o <> h")
-    pairs = pairs.select(F.least("h", "o").alias("u"), F.greatest("h", "o").alias("v"))
-    return pairs.unionByName(two).distinct()
-
-
-def similar(docs: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY, text_column: str = "text") -> DataFrame:
-    """The pairs whose lines, read again from the documents, are similar enough."""
+    two = counted.where("n = 2").select(F.col("low").alias("u"), F.col("high").alias("v"))
+    more = counted.where("n > 2").select("band", "low", "n")
+    members = store(banded.join(broadcast_if(more, more.count()), "band"))
+    pairs = members.where("h <> low").select(F.col("low").alias("u"), F.col("h").alias("v"))
+    return pairs.unionByName(two).distinct(), members.select("h", "band", "n")
+
+
+def across(members: DataFrame, signed: DataFrame, components: DataFrame) -> DataFrame:
+    """(u, v): the pairs of a bucket that are in different components and may be similar.
+
+    Lines of a bucket are gathered in blocks by a hash, and each two blocks compared as arrays.
+    """
+    named = members.join(components.withColumnRenamed("node", "h"), "h", "left").withColumn(
+        "c", F.coalesce("component", "h"))
+    mixed = store(named.groupBy("band").agg(F.min("c").alias("a"), F.max("c").alias("b")).where("a < b").select("band"))
+    minima = F.array(*[f"m{k}" for k in range(BANDS * ROWS)])
+    open_lines = named.join(broadcast_if(mixed, mixed.count()), "band").withColumn("parts", F.ceil(F.col("n") / BLOCK))
+    blocks = store(open_lines.join(signed.select("h", minima.alias("m")), "h").groupBy(
+        "band", "parts", F.pmod(F.xxhash64("h"), "parts").alias("part")).agg(
+        F.collect_list(F.struct("h", "c", "m")).alias("rows")))
+    one = blocks.where("part < parts - 1").select(
+        "band", F.col("rows").alias("others"), F.explode(F.expr("sequence(part + 1, parts - 1)")).alias("part"))
+    met = blocks.select("rows", F.col("rows").alias("others")).unionByName(
+        one.join(blocks, ["band", "part"]).select("rows", "others"))
+    found = met.select(F.explode(F.expr(
+        "flatten(transform(rows, a -> transform(filter(others, b -> a.c <> b.c AND"
+        f" size(array_intersect(a.m, b.m)) >= {AGREE}), b -> struct(least(a.h, b.h) AS u, greatest(a.h, b.h) AS v))))"
+    )).alias("pair"))
+    return found.select("pair.*").distinct()
+
+
+def line_texts(docs: DataFrame, pairs: DataFrame, text_column: str = "text") -> DataFrame:
+    """(h, line): the lines of these pairs, read again from the documents."""
     needed = store(pairs.select(F.col("u").alias("h")).unionByName(pairs.select(F.col("v").alias("h"))).distinct())
     lines = docs.select(F.explode(F.split(F.col(text_column).cast("string"), "\n", -1)).alias("line")).withColumn(
         "h", F.xxhash64("line"))
-    texts = lines.join(broadcast_if(needed, needed.count()), "h").groupBy("h").agg(F.first("line").alias("line"))
-    texts = store(texts)
+    return lines.join(broadcast_if(needed, needed.count()), "h").groupBy("h").agg(F.first("line").alias("line"))
+
+
+def similar(texts: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The pairs whose lines are similar enough."""
     one, other = texts.select(F.col("h").alias("u"), F.col("line").alias("a")), texts.select(
         F.col("h").alias("v"), F.col("line").alias("b"))
     sets = F.array(F.struct(*[F.array_distinct(F.transform(F.expr(
@@ -91,6 +116,21 @@ def similar(docs: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY, t
     return pairs.join(one, "u").join(other, "v").where(alike).select("u", "v")
 
 
+def linked(docs: DataFrame, similarity: float = SIMILARITY, text_column: str = "text") -> DataFrame:
+    """(node, component) of the hashes of lines that are similar to another line."""
+    signed = store(signatures(docs, text_column=text_column))
+    pairs, members = buckets(signed)
+    pairs = store(pairs)
+    # the lines of the first pairs are all lines that share a bucket
+    texts = store(line_texts(docs, pairs, text_column))
+    components = connected_components(similar(texts, pairs, similarity))
+    rest = store(across(members, signed, components))
+    more = store(similar(texts, rest, similarity))
+    if more.isEmpty():
+        return components
+    return connected_components(components.selectExpr("node AS u", "component AS v").unionByName(more))
+
+
 def classes(docs: DataFrame, similarity: float = SIMILARITY, id_column: str = "doc_id",
             text_column: str = "text") -> DataFrame:
     """A row per line: id, text_key, pos, first_id, first_pos, kept.
@@ -102,9 +142,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, id_column: str = "d
     columns are not read. An empty table gives an empty one.
     """
     found = store(occurrences(docs, id_column, text_column))
-    pairs = store(candidates(signatures(docs, id_column, text_column)))
-    components = connected_components(similar(docs, pairs, similarity, text_column))
-    components = components.withColumnsRenamed({"node": "h", "component": "c"})
+    components = linked(docs, similarity, text_column).withColumnsRenamed({"node": "h", "component": "c"})
     own = F.struct("__id", "pos", "text_key")
     by_line = found.where("h IS NOT NULL").groupBy("h").agg(F.min(own).alias("first"), F.count("*").alias("n"))
     named = store(by_line.join(components, "h", "left").withColumn("c", F.coalesce("c", "h")))

@@ -344,3 +344,32 @@ def test_warc_records(spark, tmp_path):
     warc.write_warc(records, str(tmp_path / "out"))
     again = spark.read.option("lineSep", "\r\n\r\nWARC/1.1").text(str(tmp_path / "out"))
     assert again.where(F.col("value").contains("WARC-Type: conversion")).count() == 6
+
+
+def test_lines_of_crowded_buckets(spark):
+    """Chains of edited lines: most share buckets with many others that they are not similar to."""
+    rng = np.random.default_rng(11)
+    words = ["amber", "brook", "cedar", "delta", "ember", "fjord", "grove", "haven", "inlet", "jetty"]
+    texts = []
+    for _ in range(6):
+        line = [words[k] + words[j] for k, j in rng.integers(0, 10, (24, 2))]
+        for _ in range(40):
+            line = list(line)
+            line[rng.integers(24)] = words[rng.integers(10)] + words[rng.integers(10)]
+            texts.append(" ".join(line))
+    texts = sorted(set(texts))
+    sets = [{t[k:k + lines.SHINGLE] for k in range(len(t) - lines.SHINGLE + 1)} for t in texts]
+    root = list(range(len(texts)))
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    for a in range(len(texts)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= lines.SIMILARITY * len(sets[a] | sets[b]):
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["first_id"] for r in lines.classes(df).collect()}
+    assert got == {k: find(k) for k in range(len(texts))}
