@@ -20,7 +20,7 @@ from kerbside.session import broadcast_if, store
 SHINGLE = 10
 BANDS, ROWS = 8, 3
 SIMILARITY = 0.8
-AGREE = 8         # common minima below which no pair of 0.8 falls but once in ten million
+AGREE = (19, 12)  # common minima of 24: the likely pairs first; a pair of 0.8 has fewer than 12 once in ten thousand
 BLOCK = 128       # lines of a bucket that one row gathers, on average
 
 
@@ -72,7 +72,7 @@ def buckets(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def across(members: DataFrame, signed: DataFrame, components: DataFrame) -> DataFrame:
-    """(u, v): the pairs of a bucket that are in different components and may be similar.
+    """(u, v, agree): the pairs of a bucket in different components with their common minima, 12 or more.
 
     Lines of a bucket are gathered in blocks by a hash, and each two blocks compared as arrays.
     """
@@ -89,31 +89,32 @@ def across(members: DataFrame, signed: DataFrame, components: DataFrame) -> Data
     met = blocks.select("rows", F.col("rows").alias("others")).unionByName(
         one.join(blocks, ["band", "part"]).select("rows", "others"))
     found = met.select(F.explode(F.expr(
-        "flatten(transform(rows, a -> transform(filter(others, b -> a.c <> b.c AND"
-        f" size(array_intersect(a.m, b.m)) >= {AGREE}), b -> struct(least(a.h, b.h) AS u, greatest(a.h, b.h) AS v))))"
-    )).alias("pair"))
+        "flatten(transform(rows, a -> filter(transform(filter(others, b -> a.c <> b.c), b -> struct("
+        "least(a.h, b.h) AS u, greatest(a.h, b.h) AS v, size(array_intersect(a.m, b.m)) AS agree)),"
+        f" p -> p.agree >= {min(AGREE)})))")).alias("pair"))
     return found.select("pair.*").distinct()
 
 
+def _shingles(line: str):
+    return F.transform(F.expr(f"regexp_extract_all({line}, '(?s)(?=(.{{{SHINGLE}}}))', 1)"), lambda x: F.xxhash64(x))
+
+
 def line_texts(docs: DataFrame, pairs: DataFrame, text_column: str = "text") -> DataFrame:
-    """(h, line): the lines of these pairs, read again from the documents."""
+    """(h, line, n): the lines of these pairs, read again from the documents, and their different shingles."""
     needed = store(pairs.select(F.col("u").alias("h")).unionByName(pairs.select(F.col("v").alias("h"))).distinct())
     lines = docs.select(F.explode(F.split(F.col(text_column).cast("string"), "\n", -1)).alias("line")).withColumn(
         "h", F.xxhash64("line"))
-    return lines.join(broadcast_if(needed, needed.count()), "h").groupBy("h").agg(F.first("line").alias("line"))
+    found = lines.join(broadcast_if(needed, needed.count()), "h").groupBy("h").agg(F.first("line").alias("line"))
+    return found.withColumn("n", F.size(F.array_distinct(_shingles("line"))))
 
 
 def similar(texts: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The pairs whose lines are similar enough."""
-    one, other = texts.select(F.col("h").alias("u"), F.col("line").alias("a")), texts.select(
-        F.col("h").alias("v"), F.col("line").alias("b"))
-    sets = F.array(F.struct(*[F.array_distinct(F.transform(F.expr(
-        f"regexp_extract_all({c}, '(?s)(?=(.{{{SHINGLE}}}))', 1)"), lambda s: F.xxhash64(s))).alias(c) for c in ("a", "b")]))
-    # one expression, so that a filter which is moved does not compute the sets again
-    sizes = F.transform(sets, lambda p: F.struct(
-        F.size(p["a"]).alias("a"), F.size(p["b"]).alias("b"), F.size(F.array_intersect(p["a"], p["b"])).alias("both")))
-    alike = F.exists(sizes, lambda n: n["both"] >= similarity * (n["a"] + n["b"] - n["both"]))
-    return pairs.join(one, "u").join(other, "v").where(alike).select("u", "v")
+    """The pairs whose lines are similar enough; those whose sizes forbid it are not compared."""
+    one, other = texts.selectExpr("h AS u", "line AS a", "n AS na"), texts.selectExpr("h AS v", "line AS b", "n AS nb")
+    both = F.size(F.array_intersect(_shingles("a"), _shingles("b")))
+    fits = F.least("na", "nb") >= similarity * F.greatest("na", "nb")
+    alike = F.when(fits, both * (1 + similarity) >= similarity * (F.col("na") + F.col("nb")) - 1e-9)
+    return pairs.select("u", "v").join(one, "u").join(other, "v").where(alike).select("u", "v")
 
 
 def linked(docs: DataFrame, similarity: float = SIMILARITY, text_column: str = "text") -> DataFrame:
@@ -125,10 +126,14 @@ def linked(docs: DataFrame, similarity: float = SIMILARITY, text_column: str = "
     texts = store(line_texts(docs, pairs, text_column))
     components = connected_components(similar(texts, pairs, similarity))
     rest = store(across(members, signed, components))
-    more = store(similar(texts, rest, similarity))
-    if more.isEmpty():
-        return components
-    return connected_components(components.selectExpr("node AS u", "component AS v").unionByName(more))
+    for agree in AGREE:   # what the likely pairs link need not be compared again
+        one, other = (components.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in ("u", "v"))
+        apart = rest.where(F.col("agree") >= agree).join(one, "u", "left").join(other, "v", "left").where(
+            "coalesce(cu, u) <> coalesce(cv, v)")
+        more = store(similar(texts, store(apart.select("u", "v")), similarity))
+        if not more.isEmpty():
+            components = connected_components(components.selectExpr("node AS u", "component AS v").unionByName(more))
+    return components
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY, id_column: str = "doc_id",
