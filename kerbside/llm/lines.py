@@ -11,7 +11,7 @@ the first line of the documents stays.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.operators.components import connected_components
@@ -95,7 +95,7 @@ def across(members: DataFrame, signed: DataFrame, components: DataFrame) -> Data
     return found.select("pair.*").distinct()
 
 
-def _shingles(line: str):
+def _shingles(line: str) -> Column:
     return F.transform(F.expr(f"regexp_extract_all({line}, '(?s)(?=(.{{{SHINGLE}}}))', 1)"), lambda x: F.xxhash64(x))
 
 
