@@ -1,12 +1,12 @@
 """Fuzzy line dedup by MinHash, in DataFrame operations only.
 
-A line's signature are the minima, in 24 orders, of the hashes of its character shingles that
-begin at a word (at any character where words are long). Three minima make a band. The lines of
-a bucket, which agree on a band, are first compared with the first of them by the exact Jaccard
-similarity of all their character shingles, and the links closed by union-find over the
-cluster. Where a bucket still holds several components, its lines are compared across them, in
-blocks, so that nothing is left out and no pair is formed within a component. Of every component
-the first line of the documents stays.
+A line's signature are the minima, in 24 orders, of the hashes of all its character shingles.
+Three minima make a band. The lines of a bucket, which agree on a band, are first compared with
+the first of them by the exact Jaccard similarity of all their character shingles, and the links
+closed by union-find over the cluster. Where a bucket still holds several components, its lines
+are compared across them, in blocks, the likely pairs first and then all that are left, so that
+nothing is left out and no pair is formed within a component. Of every component the first line
+of the documents stays.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from kerbside.session import broadcast_if, store
 SHINGLE = 10
 BANDS, ROWS = 8, 3
 SIMILARITY = 0.8
-AGREE = (19, 12)  # common minima of 24: the likely pairs first; a pair of 0.8 has fewer than 12 once in ten thousand
+AGREE = (19, 12, 0)  # common minima of 24: the likely pairs first, whose links spare others the comparison; all in the end
 BLOCK = 128       # lines of a bucket that one row gathers, on average
 
 
@@ -42,16 +42,18 @@ def signatures(docs: DataFrame, text_column: str = "text") -> DataFrame:
     Shingles are flattened to rows, hashed once and reduced to minima before the shuffle; the
     k-th order of hashes is that of their exclusive or with the k-th constant.
     """
-    at_words, anywhere = f"(?s) (?=(.{{{SHINGLE}}}))", f"(?s)(?=(.{{{SHINGLE}}}))"
-    pattern = f"CASE WHEN length(line) > 12 * (2 + length(line) - length(replace(line, ' ', ''))) THEN '{anywhere}' ELSE '{at_words}' END"
     lines = docs.select(F.explode(F.split(F.col(text_column).cast("string"), "\n", -1)).alias("line")).where(
         F.length("line") >= SHINGLE)
-    rows = lines.select(F.xxhash64("line").alias("h"), F.explode(
-        F.expr(f"regexp_extract_all(concat(' ', line), {pattern}, 1)")).alias("s"))
+    rows = lines.select(F.xxhash64("line").alias("h"), F.explode(_cut("line")).alias("s"))
     hashed = rows.select("h", F.xxhash64("s").alias("x"))
     return hashed.groupBy("h").agg(*[F.min(F.expr(f"x ^ {_constant(k)}L")).alias(f"m{k}") for k in range(BANDS * ROWS)])
 
 
+def _cut(line: str) -> Column:
+    """The shingles of a line, one for each position."""
+    return F.expr(f"regexp_extract_all({line}, '(?s)(?=(.{{{SHINGLE}}}))', 1)")
+
+
 def _constant(k: int) -> int:
     """Well mixed numbers: multiples of the golden ratio, as signed 64-bit integers."""
     value = (k + 1) * 0x9E3779B97F4A7C15 % 2 ** 64
@@ -71,32 +73,36 @@ def buckets(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pairs.unionByName(two).distinct(), members.select("h", "band", "n")
 
 
-def across(members: DataFrame, signed: DataFrame, components: DataFrame) -> DataFrame:
-    """(u, v, agree): the pairs of a bucket in different components with their common minima, 12 or more.
+def across(members: DataFrame, signed: DataFrame, components: DataFrame, sizes: DataFrame,
+           least: int = 0, similarity: float = SIMILARITY) -> DataFrame:
+    """(u, v, agree): the pairs of a bucket in different components with their common minima, ``least`` or more.
 
     Lines of a bucket are gathered in blocks by a hash, and each two blocks compared as arrays.
+    Pairs whose numbers of shingles, the ``n`` of ``sizes``, forbid the similarity are left out.
     """
     named = members.join(components.withColumnRenamed("node", "h"), "h", "left").withColumn(
         "c", F.coalesce("component", "h"))
     mixed = store(named.groupBy("band").agg(F.min("c").alias("a"), F.max("c").alias("b")).where("a < b").select("band"))
     minima = F.array(*[f"m{k}" for k in range(BANDS * ROWS)])
     open_lines = named.join(broadcast_if(mixed, mixed.count()), "band").withColumn("parts", F.ceil(F.col("n") / BLOCK))
-    blocks = store(open_lines.join(signed.select("h", minima.alias("m")), "h").groupBy(
+    sized = signed.select("h", minima.alias("m")).join(sizes.select("h", F.col("n").alias("size")), "h")
+    blocks = store(open_lines.join(sized, "h").groupBy(
         "band", "parts", F.pmod(F.xxhash64("h"), "parts").alias("part")).agg(
-        F.collect_list(F.struct("h", "c", "m")).alias("rows")))
+        F.collect_list(F.struct("h", "c", "m", "size")).alias("rows")))
     one = blocks.where("part < parts - 1").select(
         "band", F.col("rows").alias("others"), F.explode(F.expr("sequence(part + 1, parts - 1)")).alias("part"))
     met = blocks.select("rows", F.col("rows").alias("others")).unionByName(
         one.join(blocks, ["band", "part"]).select("rows", "others"))
     found = met.select(F.explode(F.expr(
-        "flatten(transform(rows, a -> filter(transform(filter(others, b -> a.c <> b.c), b -> struct("
+        "flatten(transform(rows, a -> filter(transform(filter(others, b -> a.c <> b.c"
+        f" AND least(a.size, b.size) >= {similarity}D * greatest(a.size, b.size) - 1e-9D), b -> struct("
         "least(a.h, b.h) AS u, greatest(a.h, b.h) AS v, size(array_intersect(a.m, b.m)) AS agree)),"
-        f" p -> p.agree >= {min(AGREE)})))")).alias("pair"))
+        f" p -> p.agree >= {least})))")).alias("pair"))
     return found.select("pair.*").distinct()
 
 
 def _shingles(line: str) -> Column:
-    return F.transform(F.expr(f"regexp_extract_all({line}, '(?s)(?=(.{{{SHINGLE}}}))', 1)"), lambda x: F.xxhash64(x))
+    return F.transform(_cut(line), lambda x: F.xxhash64(x))
 
 
 def line_texts(docs: DataFrame, pairs: DataFrame, text_column: str = "text") -> DataFrame:
@@ -112,7 +118,7 @@ def similar(texts: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY)
     """The pairs whose lines are similar enough; those whose sizes forbid it are not compared."""
     one, other = texts.selectExpr("h AS u", "line AS a", "n AS na"), texts.selectExpr("h AS v", "line AS b", "n AS nb")
     both = F.size(F.array_intersect(_shingles("a"), _shingles("b")))
-    fits = F.least("na", "nb") >= similarity * F.greatest("na", "nb")
+    fits = F.least("na", "nb") >= similarity * F.greatest("na", "nb") - 1e-9
     alike = F.when(fits, both * (1 + similarity) >= similarity * (F.col("na") + F.col("nb")) - 1e-9)
     return pairs.select("u", "v").join(one, "u").join(other, "v").where(alike).select("u", "v")
 
@@ -125,8 +131,9 @@ def linked(docs: DataFrame, similarity: float = SIMILARITY, text_column: str = "
     # the lines of the first pairs are all lines that share a bucket
     texts = store(line_texts(docs, pairs, text_column))
     components = connected_components(similar(texts, pairs, similarity))
-    rest = store(across(members, signed, components))
     for agree in AGREE:   # what the likely pairs link need not be compared again
+        if agree != AGREE[1]:   # the first two steps share a table
+            rest = store(across(members, signed, components, texts, min(agree, AGREE[1]), similarity))
         one, other = (components.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in ("u", "v"))
         apart = rest.where(F.col("agree") >= agree).join(one, "u", "left").join(other, "v", "left").where(
             "coalesce(cu, u) <> coalesce(cv, v)")

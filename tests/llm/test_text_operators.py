@@ -373,3 +373,30 @@ def test_lines_of_crowded_buckets(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r["first_id"] for r in lines.classes(df).collect()}
     assert got == {k: find(k) for k in range(len(texts))}
+
+
+def edited_lines(n_words, count, seed=7):
+    """Pairs of lines with a Jaccard similarity of 0.8 or more, one of which has a character changed."""
+    rng = np.random.default_rng(seed + n_words)
+    pairs = []
+    while len(pairs) < count:
+        a = " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(3, 10))) for _ in range(n_words))
+        k = (0, len(a) - 1, rng.integers(len(a)))[len(pairs) % 3]
+        b = a[:k] + "Q" + a[k + 1:]
+        one, other = ({t[i:i + lines.SHINGLE] for i in range(len(t) - lines.SHINGLE + 1)} for t in (a, b))
+        if one and len(one & other) >= lines.SIMILARITY * len(one | other):
+            pairs.append((a, b))
+    return pairs
+
+
+def found_links(spark, pairs):
+    """Which of these pairs, each unlike all others, have linked lines."""
+    rows = [(2 * k + j, line) for k, pair in enumerate(pairs) for j, line in enumerate(pair)]
+    got = {r["doc_id"]: r["first_id"] for r in lines.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[2 * k] == 2 * k and got[2 * k + 1] in (2 * k, 2 * k + 1) for k in range(len(pairs)))
+    return np.array([got[2 * k + 1] == 2 * k for k in range(len(pairs))])
+
+
+def test_short_lines_are_linked(spark):
+    found = found_links(spark, [p for n_words in (3, 4, 6, 8, 12) for p in edited_lines(n_words, 300)])
+    assert found.reshape(5, 300).mean(axis=1).min() >= 0.98
