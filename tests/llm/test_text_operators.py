@@ -400,3 +400,17 @@ def found_links(spark, pairs):
 def test_short_lines_are_linked(spark):
     found = found_links(spark, [p for n_words in (3, 4, 6, 8, 12) for p in edited_lines(n_words, 300)])
     assert found.reshape(5, 300).mean(axis=1).min() >= 0.98
+
+
+def test_lines_of_like_length_are_signed_alike(spark):
+    """Pairs of which one line has a character more, or another first one, with few spaces or none."""
+    rng = np.random.default_rng(9)
+    pairs = []
+    for k in range(300):
+        a = "".join(chr(97 + c) for c in rng.integers(0, 26, 49))
+        pairs.append([(a[:24], a[:25]), (a[:22], "Q" + a[1:22]),
+                      *[(x[:48], x) for x in [a[:15] + " " + a[16:30] + " " + a[31:]]]][k % 3])
+    sets = [[{t[i:i + lines.SHINGLE] for i in range(len(t) - lines.SHINGLE + 1)} for t in pair] for pair in pairs]
+    assert all(len(a & b) >= lines.SIMILARITY * len(a | b) for a, b in sets)
+    found = found_links(spark, pairs)
+    assert min(found[k::3].mean() for k in range(3)) >= 0.97
