@@ -18,12 +18,22 @@ from kerbside.llm.common import small_batches
 
 # --- fixed values of the markup language ------------------------------------------------
 # Elements whose text is no text of the page.
-HIDDEN = {"script", "style", "head", "title", "noscript", "template", "svg", "math", "iframe", "object", "select",
-          "option", "textarea", "button", "canvas", "audio", "video", "map"}
+HIDDEN = {"script", "style", "head", "title", "noscript", "template", "svg", "iframe", "object", "select",
+          "datalist", "textarea", "button", "canvas", "audio", "video", "map", "annotation", "annotation-xml"}
+IN_HEAD = {"head", "title", "meta", "link", "base", "style", "script", "noscript", "template"}
+NESTED = {"object", "svg", "template"}
+# Formulas are text of their paragraph.
+MATH = {"math", "semantics", "mrow", "mi", "mo", "mn", "ms", "mtext", "mspace", "mfrac", "msqrt", "mroot", "mstyle",
+        "merror", "mpadded", "mphantom", "menclose", "msub", "msup", "msubsup", "munder", "mover", "munderover",
+        "mmultiscripts", "mprescripts", "mtable", "mtr", "mtd"}
+# Tags of text that end a hidden element whose end tag is missing.
+FLOW = {"address", "article", "aside", "blockquote", "body", "center", "dd", "details", "dl", "dt", "div", "fieldset",
+        "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "li", "main", "nav", "ol", "p", "pre",
+        "section", "table", "td", "th", "tr", "ul"}
 RAW = {"script", "style", "title", "textarea", "iframe"}   # their content is no markup
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font",
           "i", "img", "input", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span",
-          "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
+          "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"} | MATH
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 CLOSED_BY_NEXT = {"p", "li", "dt", "dd", "tr", "td", "th", "option"}   # their end tags are often left out
 # Words of names, classes and roles that say what a part of a page is.
@@ -66,6 +76,13 @@ def _zone(tag: str, attributes: str, outer: int) -> int:
     return outer
 
 
+def _is_closed(page: str, tag: str, at: int) -> bool:
+    """Whether an end tag comes before the next start tag of the name, if elements of the name cannot hold each other."""
+    nested = tag in NESTED
+    found = re.compile(f"<{'/' if nested else '(/?)'}{tag}(?=[\\s/>])", re.I).search(page, at)
+    return bool(found) and (nested or found[1] == "/")
+
+
 def blocks(page: str) -> list[tuple[str, float, int]]:
     """(text, share of linked characters, zone) of the text blocks in page order."""
     out: list[tuple[str, float, int]] = []
@@ -73,6 +90,8 @@ def blocks(page: str) -> list[tuple[str, float, int]]:
     linked = links = 0
     open_tags: list[tuple[str, int, bool]] = []   # tag, zone, hidden
     zone, hidden, at = 0, False, 0
+    missing: set[str] = set()
+    unclosed = 0   # hidden elements open now whose end tag is missing
 
     def flush() -> None:
         nonlocal linked
@@ -83,8 +102,16 @@ def blocks(page: str) -> list[tuple[str, float, int]]:
                 out.append((text, min(1.0, linked / len(text)), zone))
         linked = 0
 
+    def leave() -> None:
+        """Close the innermost open element."""
+        nonlocal zone, hidden, unclosed
+        name, zone, hidden = open_tags.pop()
+        unclosed -= name.startswith("!")
+
     def add(raw: str) -> None:
         nonlocal linked
+        if hidden and open_tags and open_tags[-1][0] == "head" and raw.strip():
+            leave()   # text ends a head
         if raw and not hidden:
             text = entities.unescape(raw) if "&" in raw else raw
             texts.append(text)
@@ -107,6 +134,11 @@ def blocks(page: str) -> list[tuple[str, float, int]]:
         if tag is None:
             continue   # a comment or declaration
         tag = tag.lower()
+        if hidden and not closing:
+            if open_tags[-1][0] == "head" and tag not in IN_HEAD:
+                leave()   # the end tag of the head is often left out
+            while unclosed and tag in FLOW:
+                leave()
         if tag == "br":
             if not hidden:
                 texts.append(" ")
@@ -120,10 +152,9 @@ def blocks(page: str) -> list[tuple[str, float, int]]:
             flush()
             links = 0
             if any(t == tag for t, _, _ in open_tags):
-                while open_tags:
-                    name, zone, hidden = open_tags.pop()
-                    if name == tag:
-                        break
+                while open_tags[-1][0] != tag:
+                    leave()
+                leave()
             continue
         if tag in INLINE:
             continue
@@ -132,8 +163,14 @@ def blocks(page: str) -> list[tuple[str, float, int]]:
         if tag in VOID:
             continue
         if tag in CLOSED_BY_NEXT and open_tags and open_tags[-1][0] == tag:
-            _, zone, hidden = open_tags.pop()
-        open_tags.append((tag, zone, hidden))
+            leave()
+        closed = tag not in HIDDEN or tag in RAW or tag == "head" or hidden or (
+            tag not in missing and _is_closed(page, tag, at))
+        if not closed:
+            unclosed += 1
+            if tag in NESTED:
+                missing.add(tag)   # there is no end tag on the rest of the page
+        open_tags.append((tag if closed else "!" + tag, zone, hidden))   # no end tag has such a name
         if tag in HIDDEN:
             hidden = True
             if tag in RAW:

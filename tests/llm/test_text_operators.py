@@ -414,3 +414,18 @@ def test_lines_of_like_length_are_signed_alike(spark):
     assert all(len(a & b) >= lines.SIMILARITY * len(a | b) for a, b in sets)
     found = found_links(spark, pairs)
     assert min(found[k::3].mean() for k in range(3)) >= 0.97
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<html><head><title>T</title><body><article><p>One two.</p></article>", "One two."),
+    ("<head><meta charset=utf-8><title>T</title><style>p{}</style><article><p>One <b>two</b>.", "One two."),
+    ("<head><title>T</title><main>One two.", "One two."),
+    ("<article><p>One.<select><option>A<option>B</select><p>Two.", "One. Two."),
+    ("<article><p>One.<select><option>A<option>B<p>Two.<p>Three.", "One. Two. Three."),
+    ("<article><p>One.<button>Go<p>Two.<button><div>Go</div></button><p>Three.", "One. Two. Three."),
+    ("<article><p>One.<object data=x><p>Two.</article>", "One. Two."),
+    ("<article><p>Let <math><semantics><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></semantics></math>.",
+     "Let x=2 ."),
+])
+def test_html_with_tags_left_out(page, text):
+    assert html.main_text(page, html.grow()) == text
