@@ -44,35 +44,41 @@ AROUND = {"nav", "navbar", "navigation", "menu", "menubar", "header", "masthead"
           "cookies", "consent", "gdpr", "notice", "notices", "alert", "popup", "modal", "overlay", "breadcrumb",
           "breadcrumbs", "pagination", "pager", "related", "recommended", "share", "sharing", "social", "widget",
           "toolbar", "copyright", "legal", "contentinfo", "dialog", "skip", "tags"}
-ARTICLE = {"article", "main", "content", "post", "entry", "story", "articlebody", "maincontent", "post-body"}
-STATED = {"nav", "footer", "aside", "form", "dialog", "menu", "header", "article", "main"}
+ARTICLE = {"article", "main", "content", "post", "entry", "story", "articlebody", "maincontent"}
+# Whole names of the text itself, which outweigh what a part around them is called.
+BODY = {"article-body", "article-content", "article-text", "articlebody", "entry-content", "maincontent", "main-content",
+        "post-body", "post-content", "story-body"}
+SURROUNDING = {"nav", "footer", "aside", "dialog", "menu"}   # tags that say it themselves
 # ----------------------------------------------------------------------------------------
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|<(/?)([a-zA-Z]"
     r"[^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 _NAMES = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
-_PARTS = re.compile(r"[a-z]+")
 
 
 def _zone(tag: str, attributes: str, outer: int) -> int:
-    """1 in an article, -1 in what lies around it, 0 where nothing is said."""
+    """1 in an article, -1 in what lies around it by name, -2 by tag, 0 where nothing is said.
+
+    Names count whole, or where each of their parts is such a word: no-sidebar is not a sidebar.
+    """
     if tag in ("article", "main"):
         return 1
+    if tag in SURROUNDING:
+        return -2
     if tag == "header":   # of the page, unless it heads an article
-        return outer if outer == 1 else -1
-    if tag in STATED:
-        return -1
+        return outer if outer == 1 else -2
+    if tag == "form":   # may hold a whole page
+        outer = -2 if outer == 1 else min(outer, -1)
     if attributes and "=" in attributes:
-        parts = set()
-        for value in _NAMES.findall(attributes):
-            value = value.strip("\"'").lower()
-            parts.update(_PARTS.findall(value))
-            parts.add(value)
-        if parts & ARTICLE and outer >= 0 and not parts & AROUND:
+        names = {name for value in _NAMES.findall(attributes) for name in value.strip("\"'").lower().split()}
+        around = any(all(part in AROUND for part in re.split("[-_]+", name)) for name in names)
+        if names & BODY and outer >= -1:
+            return 1
+        if names & ARTICLE and outer >= 0 and not around:
             return 1
-        if parts & AROUND and not (tag == "body" or parts & ARTICLE and outer >= 0):
-            return -1
+        if around and tag not in ("html", "body") and not (names & ARTICLE and outer >= 0):
+            return min(outer, -1)
     return outer
 
 
@@ -187,7 +193,7 @@ FEATURES = ("words", "linked", "words_before", "linked_before", "words_after", "
 LABELLED = (
     (1, 1.0, 0, 0.0, 1, 1.0, -1, 0), (1, 1.0, 1, 1.0, 2, 1.0, -1, 0), (2, 1.0, 1, 1.0, 7, 0.0, -1, 0),
     (7, 0.0, 2, 1.0, 9, 0.0, -1, 0), (14, 0.0, 1, 1.0, 8, 0.0, -1, 0), (40, 0.0, 60, 0.0, 0, 0.0, -1, 0),
-    (8, 0.0, 55, 0.0, 0, 0.0, -1, 0), (25, 0.1, 80, 0.0, 12, 0.0, -1, 0), (120, 0.0, 40, 0.0, 35, 0.0, -1, 0),
+    (8, 0.0, 55, 0.0, 0, 0.0, -1, 0), (25, 0.1, 80, 0.0, 12, 0.0, -1, 0), (120, 0.0, 40, 0.0, 35, 0.0, -2, 0),
     (3, 0.0, 1, 1.0, 1, 1.0, -1, 0), (30, 0.4, 20, 0.3, 90, 0.0, -1, 0), (60, 0.02, 15, 0.0, 70, 0.0, -1, 0),
     (6, 0.0, 7, 0.0, 60, 0.0, 1, 1), (1, 0.0, 50, 0.0, 44, 0.0, 1, 1), (2, 0.0, 30, 0.0, 8, 0.0, 1, 1),
     (50, 0.0, 6, 0.0, 70, 0.0, 1, 1), (90, 0.05, 50, 0.0, 20, 0.0, 1, 1), (15, 0.3, 60, 0.0, 33, 0.1, 1, 1),
@@ -205,6 +211,12 @@ LABELLED = (
     (2, 0.0, 0, 0.0, 1, 1.0, 1, 1), (1, 0.0, 1, 1.0, 0, 0.0, 1, 1), (6, 0.5, 1, 1.0, 1, 1.0, 1, 1),
     (22, 0.0, 0, 0.0, 1, 1.0, 0, 1), (30, 0.0, 20, 0.0, 2, 1.0, 0, 1), (18, 0.0, 1, 1.0, 2, 1.0, 0, 1),
     (3, 0.0, 30, 0.0, 50, 0.0, 0, 1), (16, 0.0, 12, 0.0, 45, 0.0, 0, 1), (60, 0.0, 4, 0.0, 2, 1.0, 0, 1),
+    (1, 1.0, 1, 1.0, 1, 1.0, -2, 0), (30, 0.0, 20, 0.0, 60, 0.0, -2, 0), (300, 0.02, 90, 0.0, 80, 0.0, -2, 0),
+    (110, 0.0, 40, 0.0, 35, 0.0, -1, 1), (160, 0.05, 6, 0.0, 90, 0.0, -1, 1), (85, 0.0, 60, 0.0, 110, 0.0, -1, 1),
+    (240, 0.02, 2, 1.0, 1, 1.0, -1, 1), (90, 0.8, 3, 1.0, 70, 0.0, -1, 0), (150, 0.9, 120, 0.0, 1, 1.0, -1, 0),
+    (3, 0.0, 2, 1.0, 90, 0.0, -2, 0), (6, 0.0, 10, 0.0, 120, 0.0, -2, 0), (2, 0.0, 0, 0.0, 160, 0.0, -1, 0),
+    (8, 0.0, 60, 0.0, 45, 0.0, -1, 0), (5, 0.0, 2, 0.0, 55, 0.0, -1, 0), (1, 0.0, 12, 0.0, 40, 0.0, -2, 0),
+    (6, 0.0, 2, 1.0, 90, 0.0, 0, 1), (4, 0.0, 0, 0.0, 120, 0.0, 0, 1), (8, 0.0, 1, 1.0, 60, 0.0, 0, 1),
 )
 
 

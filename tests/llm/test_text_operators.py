@@ -429,3 +429,22 @@ def test_lines_of_like_length_are_signed_alike(spark):
 ])
 def test_html_with_tags_left_out(page, text):
     assert html.main_text(page, html.grow()) == text
+
+
+LONG = " ".join(f"word{i} of the story" for i in range(40))
+
+
+@pytest.mark.parametrize("page, text", [
+    ('<div class="layout no-sidebar"><div class="entry-content"><p>One two.', "One two."),
+    (f'<html class="no-cookies"><body><p>{LONG}', LONG),
+    ('<html class="cookies"><body><div class="content"><p>One two.', "One two."),
+    ('<div id="page" class="right-sidebar"><div class="content"><p>One two.</div><div class="sidebar"><p>Not me.', "One two."),
+    ('<div class="sidebar"><div class="entry-content"><p>One two.</div><p>Not me.', "One two."),
+    (f'<form id="f"><div class="nav-menu"><a>Home</a></div><p>{LONG}</p><div class="entry-content"><p>One.', LONG + " One."),
+    (f'<div class="search"><p>Short.</p><p>{LONG}</p><p><a>{LONG}</a></p></div>', LONG),
+    (f"<div><a>Home</a></div><div><h1>Its title</h1><p>{LONG}", "Its title " + LONG),
+    (f"<header><p>Site</p></header><div><p>{LONG}", LONG),
+    (f"<nav><p>{LONG}</p></nav><footer><div class=entry-content>{LONG}</div></footer><aside>{LONG}</aside>", ""),
+])
+def test_html_in_wrappers_without_article(page, text):
+    assert html.main_text(page, html.grow()) == text
