@@ -54,13 +54,24 @@ def store(df: DataFrame) -> DataFrame:
     """Like :func:`materialise`, as a parquet table in the checkpoint folder.
 
     Compressed and read by column, which suits large intermediates; the order of rows within
-    the table is not kept. The folder lasts as long as the checkpoints of the application.
+    the table is not kept. The folder stays until :func:`forget` or the owner of the
+    checkpoint folder deletes it.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables that :func:`store` returned, once nothing reads them any more."""
+    for table in tables:
+        jvm = table.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def broadcast_if(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
