@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import caps, html, lines, mixing, packing, quality, secrets, simhash, tokens, warc
+from kerbside.llm import (
+    caps, centroids, html, lines, mixing, oracle, packing, quality, ranking, secrets, sharding, simhash, tokens, warc,
+)
 from kerbside.llm.common import table
 
 
@@ -63,7 +65,22 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.classes(table(spark, sf_dir, "documents")).drop("text_key").withColumnRenamed("pos", "line")
 
 
+def op11_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_interleaving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.interleaved(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op13_ns_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.summary(table(spark, sf_dir, "embeddings")).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_spherical_caps, op2_html_text, op3_packing, op4_simhash, op5_warc_derivatives, op6_mixing, op7_token_counts, op8_quality,
-    op9_secrets, op10_line_dedup)}
-ORACLES: dict[str, str] = {}
+    op9_secrets, op10_line_dedup, op11_norm_buckets, op12_interleaving, op13_ns_bounds)}
+ORACLES: dict[str, str] = oracle.ORACLES
