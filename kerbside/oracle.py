@@ -135,12 +135,13 @@ relocated AS (
 _LAST = f"""
 moves AS (SELECT * FROM student_changes WHERE op <> 'd'),
 last_moves AS (
-  SELECT * FROM moves QUALIFY row_number() OVER (PARTITION BY student_id ORDER BY event_id DESC) = 1),
+  SELECT * FROM moves QUALIFY row_number() OVER (PARTITION BY student_id ORDER BY ts_ms DESC, event_id DESC) = 1),
 {_nearest("last_moves", "zone_stops", "student_id", ["stop_id"])}"""
 _WITH_LAST = with_sql("student_changes", "zone_stops", "assignments") + "," + _LAST
-_UPSERTED = (_WITH_LAST + """
+_UPSERTED_ROWS = """
 SELECT coalesce(n.student_id, a.student_id) AS student_id, coalesce(n.stop_id, a.stop_id) AS stop_id
-FROM assignments a FULL OUTER JOIN near n ON a.student_id = n.student_id""")
+FROM assignments a FULL OUTER JOIN near n ON a.student_id = n.student_id"""
+_UPSERTED = _WITH_LAST + _UPSERTED_ROWS
 
 
 def _lloyd(rounds: int) -> str:
@@ -273,4 +274,11 @@ FROM student_changes WHERE op <> 'd'""",
 SELECT student_id, stop_id, round(distance, 3) AS distance FROM near""",
     "upsert_assignments": _UPSERTED,
     "cdc_stream_assignments": _UPSERTED,
+    "stream_history": f"""{with_sql("student_changes")}
+SELECT student_id, latitude, longitude, ts_ms AS moved_at
+FROM student_changes WHERE op <> 'd'""",
+    "matching_after_moves": f"""{with_sql("student_changes", "zone_stops", "assignments", "buses", recursive=True)}, {_LAST},
+upserted AS ({_UPSERTED_ROWS}),
+{_MATCHING.replace("FROM assignments GROUP", "FROM upserted GROUP")}
+SELECT bus_id, stop_id, round(distance, 3) AS distance, num_students FROM matched""",
 }

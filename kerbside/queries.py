@@ -363,17 +363,41 @@ def upsert_assignments(spark, d):
     return updates.upsert_rows(fx.assignments(spark, d), materialise(moved), "student_id")
 
 
-@query
-def cdc_stream_assignments(spark, d):
-    """The same through the running stream: messages as files, several micro-batches."""
+def _streamed(spark, d, streams: int = 1, fold_every: int = 0) -> Tables:
+    """Tables after the running stream: messages as files, several micro-batches. With two
+    streams the second has a checkpoint of its own and takes the later messages."""
     ensure_checkpoint_dir(spark)
     root = f"{spark.sparkContext.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
-    (fx.change_messages(spark, d).repartitionByRange(4, "offset")
-     .write.json(f"{root}/messages"))
     tables = Tables(spark, f"{root}/tables")
     tables.overwrite("bus_stops", fx.zone_stops(spark, d).withColumn("road_id", F.lit(None).cast("bigint")))
     tables.overwrite("assignments", fx.assignments(spark, d))
-    source = (spark.readStream.schema("value string, offset bigint").option("maxFilesPerTrigger", 2)
-              .json(f"{root}/messages"))
-    changes.start(source, tables, f"{root}/checkpoint", availableNow=True).awaitTermination()
-    return changes.current_assignments(tables)
+    messages = materialise(fx.change_messages(spark, d))
+    half = messages.agg(F.expr("percentile_approx(offset, 0.5)")).first()[0] or 0
+    for number in range(streams):
+        part = messages if streams == 1 else messages.where((F.col("offset") <= half) == (number == 0))
+        part.repartitionByRange(4, "offset").write.json(f"{root}/messages-{number}")
+        source = (spark.readStream.schema("value string, offset bigint").option("maxFilesPerTrigger", 2)
+                  .json(f"{root}/messages-{number}"))
+        changes.start(source, tables, f"{root}/checkpoint-{number}", fold_every, availableNow=True).awaitTermination()
+    return tables
+
+
+@query
+def cdc_stream_assignments(spark, d):
+    """The same through the running stream."""
+    return _streamed(spark, d).read("assignments")
+
+
+@query
+def stream_history(spark, d):
+    """The history table after two streams with a checkpoint each, one batch folded."""
+    return _streamed(spark, d, streams=2, fold_every=2).read("student_locations").select(
+        "student_id", "latitude", "longitude", F.unix_millis("timestamp").alias("moved_at"))
+
+
+@query
+def matching_after_moves(spark, d):
+    """Buses matched to the stops students use after the stream."""
+    tables = _streamed(spark, d, streams=2)
+    tables.overwrite("buses", fx.buses(spark, d))
+    return pickup.run_matching(tables).withColumn("distance", metres("distance"))

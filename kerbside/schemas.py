@@ -36,13 +36,21 @@ TABLES: dict[str, StructType] = {
                                  ("longitude", _NUM, True), ("timestamp", TimestampType(), True)),
 }
 
-# The column that identifies a row; tables without one are logs or link tables.
+# The column that identifies a row; tables without one are logs or link tables. Writing a
+# version that repeats a key is refused.
 KEYS = {
     "students": "student_id", "roads": "road_id", "student_clusters": "cluster_id",
     "bus_stops": "stop_id", "assignments": "student_id", "buses": "bus_id",
     "bus_assignments": "bus_id",
 }
 
+# Tables that streams commit changes to, with the key that a change replaces; changes without
+# a key are rows that are added.
+LOGGED = {"assignments": "student_id", "student_locations": None}
+
+# What orders the changes of a key: event time, then the offset of the message.
+CHANGE_ORDER = _schema(("changed_at", TimestampType(), True), ("changed_offset", _ID, True))
+
 
 def conform(name: str, df: DataFrame) -> DataFrame:
     """Project and cast a DataFrame to the schema of table ``name``."""

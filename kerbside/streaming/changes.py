@@ -1,22 +1,22 @@
 """Student moves as a stream: location history and the stop each student now uses.
 
-Every micro-batch appends the moves to the history and writes the new stop of each moved
-student to a log of assignments. Both are keyed by batch number, so a batch that is run
-again after a failure replaces what it wrote. The table of assignments stays as planned;
-``current_assignments`` lays over it the log that belongs to its version, and
-``fold_assignments`` makes the result the next version. A new plan is a new version too,
-so moves from before it do not undo it.
+Every micro-batch commits the moves to the history and the new stop of each moved student to
+the assignments, both as batches of the stream's own log (see ``sources/tables.py``), so that a
+batch that runs again changes nothing and a stream with a new checkpoint adds to what others
+left. Readers of the two tables, the matching job among them, see committed moves at once; a
+new plan is a new version of the assignments, and moves from before it do not undo it.
 """
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from kerbside.functions.scalars import utc_from_millis
 from kerbside.operators.nearest import nearest
-from kerbside.operators.updates import latest, upsert_rows
 from kerbside.session import materialise
 from kerbside.sources.tables import Tables
 
@@ -27,9 +27,6 @@ ENVELOPE = """payload struct<
     op: string, source: struct<ts_ms: bigint>,
     after: struct<student_id: bigint, latitude: double, longitude: double, name: string, address: string>>"""
 
-_HISTORY = "student_id bigint, latitude double, longitude double, timestamp timestamp"
-_MOVES = "student_id bigint, stop_id bigint"
-
 
 def topic_messages(spark: SparkSession, servers: str, topic: str = TOPIC, group: str = GROUP) -> DataFrame:
     """The change topic from its newest message on; restarts go on from the checkpoint."""
@@ -49,57 +46,62 @@ def decode(messages: DataFrame) -> DataFrame:
         utc_from_millis(F.col("payload.source.ts_ms")).alias("timestamp"), "offset")
 
 
-def nearest_stops(moves: DataFrame, stops: DataFrame) -> DataFrame:
-    """(student_id, stop_id, distance) of the last move of each student.
+def last_moves(moves: DataFrame) -> DataFrame:
+    """The last move of each student, by event time and then offset.
 
     Offsets grow within a topic partition, and all changes of a student are in one.
     """
-    last = latest(moves.select("student_id", "latitude", "longitude", "offset"), "student_id", "offset")
-    return nearest(last, stops, ["stop_id"]).select("student_id", "stop_id", "distance")
+    order = F.struct("timestamp", "offset", "latitude", "longitude")
+    last = moves.groupBy("student_id").agg(F.max(order).alias("last"))
+    return last.select("student_id", "last.*")
 
 
-def _move_log(tables: Tables) -> str:
-    return f"assignments-{tables.version('assignments')}"
+def nearest_stops(moves: DataFrame, stops: DataFrame) -> DataFrame:
+    """(student_id, stop_id, distance, timestamp, offset) of the last move of each student."""
+    return nearest(last_moves(moves), stops, ["stop_id"]).select(
+        "student_id", "stop_id", "distance", "timestamp", "offset")
 
 
-def apply_batch(tables: Tables, messages: DataFrame, batch_id: int, fold_every: int = 0) -> None:
-    """One micro-batch; the stops are read anew each time.
+def apply_batch(tables: Tables, messages: DataFrame, batch_id: int, stream: str = "0", fold_every: int = 0) -> None:
+    """One micro-batch of the stream named; the stops are read anew each time.
 
-    With ``fold_every`` the log is folded into the table every so many batches, in the
-    stream itself, so that no batch can write between the reading and the folding.
+    With ``fold_every`` the changes are folded into the tables every so many batches.
     """
     moves = materialise(decode(messages))
-    tables.log_batch("student_locations", batch_id, moves.drop("offset"))
+    tables.commit("student_locations", stream, batch_id, moves)
     # without stops this writes no rows and no student changes stop
     assigned = nearest_stops(moves, tables.read("bus_stops"))
-    tables.log_batch(_move_log(tables), batch_id, assigned.select("student_id", "stop_id"))
+    tables.commit("assignments", stream, batch_id, assigned.withColumnsRenamed(
+        {"timestamp": "changed_at", "offset": "changed_offset"}))
     if fold_every and (batch_id + 1) % fold_every == 0:
-        fold_assignments(tables)
+        for name in ("student_locations", "assignments"):
+            tables.fold(name)
 
 
 def start(messages: DataFrame, tables: Tables, checkpoint: str, fold_every: int = 0,
           **trigger) -> StreamingQuery:
-    """Run the pipeline on a streaming DataFrame of ``value`` and ``offset``."""
+    """Run the pipeline on a streaming DataFrame of ``value`` and ``offset``.
+
+    The stream's name in the logs is the id of the query, which its checkpoint keeps.
+    """
+    named = threading.Event()
+    name: list[str] = []
+
     def batch(df: DataFrame, batch_id: int) -> None:
-        apply_batch(tables, df, batch_id, fold_every)
+        named.wait()
+        apply_batch(tables, df, batch_id, name[0], fold_every)
 
-    return (messages.writeStream.foreachBatch(batch)
-            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+    query = (messages.writeStream.foreachBatch(batch)
+             .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+    name.append(query.id)
+    named.set()
+    return query
 
 
 def location_history(tables: Tables) -> DataFrame:
-    return tables.read_log("student_locations", _HISTORY).drop("batch")
+    return tables.read("student_locations")
 
 
 def current_assignments(tables: Tables) -> DataFrame:
-    """The planned assignments with every later move applied, the last batch winning."""
-    moved = latest(tables.read_log(_move_log(tables), _MOVES), "student_id", "batch")
-    return upsert_rows(tables.read("assignments"), moved.drop("batch"), "student_id")
-
-
-def fold_assignments(tables: Tables) -> None:
-    """Write the current assignments as the table, for readers such as the matching job.
-
-    Call it while no stream writes to these tables.
-    """
-    tables.overwrite("assignments", current_assignments(tables))
+    """The planned assignments with every later move applied, the last one winning."""
+    return tables.read("assignments")

@@ -1,12 +1,13 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from kerbside import schemas
 from kerbside.functions.scalars import UNNAMED_ROAD
 from kerbside.plans import seeding, views
 from kerbside.sources import files, jdbc
-from kerbside.sources.tables import Tables
+from kerbside.sources.tables import RepeatedKey, Tables
 
 POINTS = """osm_id,osm_type,geom_type,name,longitude,latitude
 1,node,Point,"School, North",105.81,21.01
@@ -135,20 +136,80 @@ def test_tables_are_replaced_while_read_and_appended(spark, tmp_path):
     tables.append("assignments", pairs.where("student_id = 1"))
     assert sorted(map(tuple, tables.read("assignments").collect())) == [(1, 10), (2, 20)]
     assert tables.version("assignments") == 1
-    tables.log_batch("assignments-0", 0, pairs)
     tables.prune("assignments", keep=1)
     assert tables.read("assignments").count() == 2 and not (tmp_path / "assignments" / "v=0").exists()
-    assert not (tmp_path / "assignments-0.log").exists()
 
 
-def test_a_batch_written_again_replaces_itself(spark, tmp_path):
+def test_repeated_and_missing_keys_are_refused(spark, tmp_path):
     tables = Tables(spark, str(tmp_path))
-    rows = spark.createDataFrame([(1,), (2,)], "x long")
-    assert tables.read_log("log", "x long").count() == 0
-    tables.log_batch("log", 0, rows)
-    tables.log_batch("log", 1, rows)
-    tables.log_batch("log", 1, rows.limit(0))
-    assert sorted(map(tuple, tables.read_log("log", "x long").collect())) == [(1, 0), (2, 0)]
+    def pairs(*rows):
+        return spark.createDataFrame(rows, "student_id long, stop_id long")
+    for bad in (pairs((1, 1), (1, 2)), pairs((None, 1))):
+        for write in (tables.overwrite, tables.append):
+            with pytest.raises(RepeatedKey):
+                write("assignments", bad)
+    tables.append("assignments", pairs((1, 1)))
+    with pytest.raises(RepeatedKey):
+        tables.append("assignments", pairs((1, 5)))
+    assert [tuple(r) for r in tables.read("assignments").collect()] == [(1, 1)]
+    # tables without a key take rows as they come
+    places = spark.createDataFrame([(1, 0.0, 0.0, 1)] * 2, "road_id long, longitude double, latitude double, `order` int")
+    tables.append("road_points", places)
+    assert tables.read("road_points").count() == 2
+
+
+def moves(spark, *rows):
+    return spark.createDataFrame(rows, "student_id long, stop_id long, second long, changed_offset long").withColumn(
+        "changed_at", F.timestamp_seconds("second"))
+
+
+def state(tables):
+    return dict(map(tuple, tables.read("assignments").collect()))
+
+
+def test_changes_win_by_event_time_whatever_stream_and_batch(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path))
+    tables.overwrite("assignments", spark.createDataFrame([(1, 10), (2, 20), (3, 30)], "student_id long, stop_id long"))
+    assert tables.commit("assignments", "a", 5, moves(spark, (1, 11, 100, 1), (4, 40, 100, 2)))
+    assert tables.commit("assignments", "b", 0, moves(spark, (1, 12, 200, 1), (2, 21, 50, 9), (2, 22, 50, 10)))
+    assert tables.commit("assignments", "c", 0, moves(spark, (1, 13, 150, 99)))
+    assert state(tables) == {1: 12, 2: 22, 3: 30, 4: 40}
+    assert not tables.commit("assignments", "b", 0, moves(spark, (1, 99, 999, 9)))   # the batch runs again
+    assert state(tables) == {1: 12, 2: 22, 3: 30, 4: 40}
+
+
+def test_folding_keeps_event_times_and_later_batches(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path))
+    tables.overwrite("assignments", spark.createDataFrame([(1, 10), (2, 20)], "student_id long, stop_id long"))
+    tables.commit("assignments", "a", 0, moves(spark, (1, 11, 200, 1)))
+    tables.fold("assignments")
+    assert tables.version("assignments") == 1 and state(tables) == {1: 11, 2: 20}
+    tables.commit("assignments", "b", 0, moves(spark, (1, 12, 100, 1), (2, 21, 100, 2)))   # older than what was folded
+    tables.commit("assignments", "a", 1, moves(spark, (3, 31, None, 7)))
+    assert state(tables) == {1: 11, 2: 21, 3: 31}
+    tables.fold("assignments")
+    tables.prune("assignments", keep=1)
+    assert not list((tmp_path / "assignments.log").glob("*/batch=*"))
+    assert not tables.commit("assignments", "a", 0, moves(spark, (1, 99, 999, 1)))   # run again after its log went
+    assert state(tables) == {1: 11, 2: 21, 3: 31}
+    tables.overwrite("assignments", spark.createDataFrame([(1, 5)], "student_id long, stop_id long"))
+    assert state(tables) == {1: 5}
+    tables.commit("assignments", "b", 1, moves(spark, (1, 6, 1, 1)))   # any move after the plan counts
+    assert state(tables) == {1: 6}
+
+
+def test_an_unfinished_batch_is_not_read(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path))
+    tables.create()
+    row = spark.createDataFrame([(1, 2.0, 3.0, None)], schemas.TABLES["student_locations"])
+    tables.commit("student_locations", "a", 0, row)
+    (tmp_path / "student_locations.log" / "stream=a" / "batch=0" / "_SUCCESS").unlink()
+    assert tables.read("student_locations").count() == 0
+    assert tables.commit("student_locations", "a", 0, row) and tables.read("student_locations").count() == 1
+    tables.commit("student_locations", "b", 0, row)
+    tables.fold("student_locations")
+    tables.commit("student_locations", "b", 1, row)
+    assert tables.read("student_locations").count() == 3
 
 
 def test_catalogue_tables(spark):

@@ -54,6 +54,29 @@ def test_moves_become_history_and_assignments(spark, tmp_path):
     assert sorted(map(tuple, history)) == [(7, 1_000), (7, 2_500), (9, 3_000), (9, 9_000)]
 
 
+def test_a_second_checkpoint_adds_to_the_first(spark, tmp_path):
+    tables = prepared(spark, tmp_path)
+    put(tmp_path / "in", 0, [(message(7, 21.0, 105.8, 5), 1), (message(7, 21.1, 105.8, 6), 2), (message(8, 21.1, 105.8, 900), 3)])
+    run(spark, tmp_path, tables)
+    put(tmp_path / "next", 0, [(message(7, 21.0, 105.9, 9), 1), (message(8, 21.0, 105.8, 100), 2)])
+    source = spark.readStream.schema("value string, offset bigint").json(str(tmp_path / "next"))
+    changes.start(source, tables, str(tmp_path / "other"), availableNow=True).awaitTermination()
+    history = tables.read("student_locations").selectExpr("student_id", "unix_millis(timestamp) AS ms").collect()
+    assert sorted(map(tuple, history)) == [(7, 5), (7, 6), (7, 9), (8, 100), (8, 900)]
+    assert assigned(tables) == {7: 3, 8: 2}     # the move of student 8 that came later is the older one
+
+
+def test_matching_sees_moves_that_are_not_folded(spark, tmp_path):
+    from kerbside.plans import pickup
+    tables = prepared(spark, tmp_path)
+    tables.overwrite("buses", spark.createDataFrame(
+        [(1, 21.0, 105.8, 10), (2, 21.1, 105.8, 10)], "bus_id long, latitude double, longitude double, capacity int"))
+    assert [tuple(r)[:2] for r in pickup.run_matching(tables).collect()] == [(1, 3)]
+    batch = spark.createDataFrame([(message(7, 21.1, 105.8, 1), 1), (message(8, 21.1, 105.8, 1), 2)], "value string, offset long")
+    changes.apply_batch(tables, batch, 0)
+    assert [tuple(r)[:2] for r in pickup.run_matching(tables).collect()] == [(2, 2)]
+
+
 def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     tables = prepared(spark, tmp_path)
     rows = [(message(i % 5, 21.0 + i / 100, 105.8, i), i) for i in range(20)]
@@ -79,8 +102,8 @@ def test_folding_and_planning_anew(spark, tmp_path):
         return spark.createDataFrame([(message(student, lat, 105.8, offset), offset)], "value string, offset long")
     changes.apply_batch(tables, batch(7, 21.1, 1), 0, fold_every=2)
     changes.apply_batch(tables, batch(7, 21.0, 2), 1, fold_every=2)
-    assert {r["student_id"]: r["stop_id"] for r in tables.read("assignments").collect()} == {7: 1, 8: 3}
+    assert assigned(tables) == {7: 1, 8: 3} and tables.version("assignments") == 2
     changes.apply_batch(tables, batch(8, 21.1, 3), 2)
-    assert assigned(tables) == {7: 1, 8: 2}
+    assert assigned(tables) == {7: 1, 8: 2} and tables.read("student_locations").count() == 3
     tables.overwrite("assignments", spark.createDataFrame([(8, 1)], "student_id long, stop_id long"))
     assert assigned(tables) == {8: 1}     # moves from before the new plan do not undo it
