@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from kerbside.functions import geo
 from kerbside.operators.nearest import build_index, search
-from kerbside.session import broadcast_if, materialise
+from kerbside.session import broadcast_if, materialise, store
 
 MAX_ITER = 300          # fixed value: iterations of one fit
 GRIDS = (1, 2, 4, 8)    # cells per disc width of the grids that bound the cluster count
@@ -32,6 +32,7 @@ def lloyd(points: DataFrame, centres: DataFrame, iterations: int = MAX_ITER,
     anywhere; a centre that loses its points stays. Returns points with cluster_id (their
     centre in the last assignment) and the centres.
     """
+    points = store(points)
     for _ in range(iterations):
         labelled = assign(points, centres)
         means = labelled.groupBy("cluster_id").agg(F.avg("latitude").alias("lat"),
@@ -48,9 +49,9 @@ def lloyd(points: DataFrame, centres: DataFrame, iterations: int = MAX_ITER,
 
 
 def assign(points: DataFrame, centres: DataFrame) -> DataFrame:
-    """Points with the cluster_id of the nearest centre in degrees, lowest id on ties."""
+    """Stored points with the cluster_id of the nearest centre in degrees, lowest id on ties."""
     index = build_index(centres, ["cluster_id"], searched_by=[points], metric="planar")
-    return search(points, index).select(*points.columns, "cluster_id")
+    return search(points, index, stored=True).select(*points.columns, "cluster_id")
 
 
 def scaled_tolerance(points: DataFrame) -> float:

@@ -53,7 +53,7 @@ def match_buses(stops: DataFrame, buses: DataFrame, assignments: DataFrame) -> D
         def accepts(stop, distance):
             return (distance < stop["limit"]) | (
                 (distance == stop["limit"]) & (F.col("bus_id") < stop["limit_bus"]))
-        return search(free, index, reach=limits, accepts=accepts).select(*bus_columns, "stop_id", "distance")
+        return search(free, index, reach=limits, accepts=accepts, stored=True).select(*bus_columns, "stop_id", "distance")
 
     pool = proposals(fleet, unlimited)
     while True:

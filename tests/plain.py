@@ -20,8 +20,8 @@ def nearest(left, right, metric=haversine):
     return {i: min((metric(a, b, c, d), j) for j, c, d in right) for i, a, b in left}
 
 
-def nearest_other(points):
-    return {i: min(planar(a, b, c, d) for j, c, d in points if j != i) for i, a, b in points}
+def nearest_other(points, metric=planar):
+    return {i: min(metric(a, b, c, d) for j, c, d in points if j != i) for i, a, b in points}
 
 
 def components(points, eps):
