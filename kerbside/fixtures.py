@@ -50,6 +50,11 @@ ROAD_POINTS = {
                  f" + (o_orderkey % 20) * (({_ROAD} % 7 - 3) * 50)"
                  " as double) / cast(1000000 as double)",
 }
+PART_STOPS = {
+    "stop_id": "cast(p_partkey as bigint)",
+    "latitude": "cast(20990000 + (p_partkey * 7919) % 100003 as double) / cast(1000000 as double)",
+    "longitude": "cast(105780000 + (p_partkey * 104729) % 100019 as double) / cast(1000000 as double)",
+}
 CHANGES = {
     "event_id": "cast(event_id as bigint)",
     "student_id": "cast(user_id as bigint)",
@@ -105,6 +110,11 @@ def zone_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return student_clusters(spark, sf_dir).withColumnRenamed("cluster_id", "stop_id")
 
 
+def part_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stops whose number grows with the tables."""
+    return _select(_read(spark, sf_dir, "part"), PART_STOPS)
+
+
 def student_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change events with their parts as columns; deletes carry no coordinates."""
     micros = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00',"
@@ -146,6 +156,7 @@ _SQL = {
     "student_clusters": "SELECT zone + 1 AS cluster_id, avg(latitude) AS latitude,"
                         " avg(longitude) AS longitude FROM students GROUP BY zone",
     "assignments": "SELECT student_id, zone + 1 AS stop_id FROM students",
+    "part_stops": _sql(PART_STOPS, "part"),
     "zone_stops": "SELECT cluster_id AS stop_id, latitude, longitude FROM student_clusters",
     "student_changes": _sql({**CHANGES, "ts_ms": "epoch_us(ts) DIV 1000"}, "events"),
 }

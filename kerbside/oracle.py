@@ -178,6 +178,14 @@ FROM students a JOIN student_clusters b ON b.cluster_id = a.zone + 1""",
     "stop_demand": f"""{with_sql("students", "assignments")}
 SELECT stop_id, count(*) AS num_students FROM assignments GROUP BY stop_id""",
     "bus_matching": f"""{with_sql("buses", "zone_stops", "assignments", recursive=True)}, {_MATCHING}
+SELECT bus_id, stop_id, round(distance, 3) AS distance, num_students FROM matched""",
+    "depot_matching": f"""{with_sql("buses", "zone_stops", "assignments", recursive=True)},
+depot AS (SELECT bus_id, capacity, CAST(21.02 AS DOUBLE) AS latitude, CAST(105.83 AS DOUBLE) AS longitude FROM buses),
+{_MATCHING.replace("CROSS JOIN buses b", "CROSS JOIN depot b")}
+SELECT bus_id, stop_id, round(distance, 3) AS distance, num_students FROM matched""",
+    "many_stops_matching": f"""{with_sql("students", "buses", "part_stops", recursive=True)},
+{_nearest("students", "part_stops", "student_id", ["stop_id"])},
+{_MATCHING.replace("FROM assignments GROUP", "FROM near GROUP").replace("FROM zone_stops a", "FROM part_stops a")}
 SELECT bus_id, stop_id, round(distance, 3) AS distance, num_students FROM matched""",
     "cluster_coverage": f"""{with_sql("student_clusters")}, {_COVERAGE}
 SELECT cluster_id, points, round(share, 9) AS share FROM shares""",

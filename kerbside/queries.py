@@ -81,6 +81,23 @@ def bus_matching(spark, d):
     return matched.select("bus_id", "stop_id", metres("distance").alias("distance"), "num_students")
 
 
+@query
+def depot_matching(spark, d):
+    """All buses at one position: one list of stops for all of them."""
+    depot = fx.buses(spark, d).withColumns({"latitude": F.lit(21.02), "longitude": F.lit(105.83)})
+    matched = matching.match_buses(fx.zone_stops(spark, d), depot, fx.assignments(spark, d))
+    return matched.select("bus_id", "stop_id", metres("distance").alias("distance"), "num_students")
+
+
+@query
+def many_stops_matching(spark, d):
+    """Students at the nearest of a growing number of stops, and buses matched to these."""
+    stops = materialise(fx.part_stops(spark, d))
+    assigned = materialise(nearest(fx.students(spark, d), stops, ["stop_id"]).select("student_id", "stop_id"))
+    matched = matching.match_buses(stops, fx.buses(spark, d), assigned)
+    return matched.select("bus_id", "stop_id", metres("distance").alias("distance"), "num_students")
+
+
 # --- clustering ------------------------------------------------------------------------
 
 def _zones(spark, d) -> tuple[DataFrame, DataFrame]:

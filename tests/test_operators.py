@@ -247,6 +247,53 @@ def test_matching_with_too_few_buses_and_one_depot(spark, grid):
     check_matching(spark, stops, buses, {s: 45 for s, _, _ in stops})
 
 
+def test_matching_of_shared_positions(spark):
+    """Stops and buses in heaps, with ids in and out of order, whole numbers of buses and not."""
+    rng = random.Random(31)
+    spots = [(21 + rng.random() * 0.1, 105 + rng.random() * 0.1) for _ in range(5)]
+    stops = [(i, *spots[i // 4 % 5 if i < 20 else rng.randrange(5)]) for i in range(28)]
+    garages = [spots[0], spots[3], (21.05, 105.05), (21.01, 105.09)]
+    buses = [(i, *rng.choice(garages), rng.choice([0, 16, 29, 35, 45])) for i in range(60)]
+    buses += [(100 + i, 21 + rng.random() * 0.1, 105 + rng.random() * 0.1, 16) for i in range(20)]
+    check_matching(spark, stops, buses, {s: rng.choice([1, 16, 40, 90]) for s, _, _ in stops})
+
+
+def test_matching_of_a_depot_in_several_turns(spark, monkeypatch):
+    monkeypatch.setattr(matching, "CHAIN", 4)
+    stops = [(i, 21.0 + i / 100, 105.0) for i in range(6)]
+    buses = [(i, 21.0, 105.0, 16) for i in range(14)] + [(20, 21.05, 105.0, 45)]
+    check_matching(spark, stops, buses, {0: 20, 1: 16, 2: 40, 3: 1, 4: 50, 5: 17})
+
+
+def test_matching_of_equally_far_stops(spark):
+    """Edges of equal distance go by stop id, whatever stops share a position."""
+    stops = [(1, 0.0, 1.0), (2, 0.0, -1.0), (3, 0.0, 1.0), (4, 0.0, -1.0), (5, 0.0, -1.0), (6, 0.0, 1.0)]
+    buses = [(i, 0.0, 0.0, 10) for i in range(9)]
+    check_matching(spark, stops, buses, {1: 10, 2: 15, 3: 10, 4: 10, 5: 12, 6: 30})
+
+
+def jobs_of(spark, name, action):
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        action()
+    finally:
+        spark.sparkContext.setJobGroup("other", "other")
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+
+@pytest.mark.parametrize("one", ["stops", "buses"])
+def test_matching_takes_as_many_jobs_for_8_stops_as_for_64(spark, monkeypatch, one):
+    """All stops at one position, then all buses at one; each search in the same way."""
+    monkeypatch.setattr(N, "ROOT_POINTS", 1000)
+    jobs = {}
+    for n in (8, 64):
+        spot, line = (21.0, 105.0), [(21 + i / 1000, 105.1 + i / 997) for i in range(3 * n)]
+        stops = [(i, *(spot if one == "stops" else line[i])) for i in range(n)]
+        buses = [(i, *(spot if one == "buses" else line[i]), 16 if i % 2 else 45) for i in range(3 * n)]
+        jobs[n] = jobs_of(spark, f"{one}-{n}", lambda: check_matching(spark, stops, buses, {s: 30 + s % 40 for s, _, _ in stops}))
+    assert 0 < jobs[64] <= jobs[8] + 5
+
+
 def test_matching_nothing(spark):
     check_matching(spark, [(1, 0.0, 0.0)], [(1, 0.0, 0.0, 10)], {9: 3})
     got = matching.match_buses(spark.createDataFrame([], f"stop_id long, {POINT}"),
