@@ -48,6 +48,9 @@ _OFF = 1 / 32        # how far a place may be off, in cells of the finest grid
 _SLACK = 1e-9        # relative, on squared distances
 
 
+Bounds = tuple[int, list[float], list[float]]   # rows, lowest and highest value per axis
+
+
 @dataclass(frozen=True)
 class Grid:
     """Whole-number places: ``depth`` levels over a cube at ``low``."""
@@ -88,15 +91,21 @@ class PointIndex:
     points: DataFrame       # latitude, longitude, ids, rlat, rlng, clat, and places
     ids: list[str]
     rows: int
-    grid: Grid | None = None
+    grid: Grid
     filled: list[int] = field(default_factory=list)  # occupied cells per level, about
 
+    def covers(self, bounds: Bounds) -> bool:
+        """Whether all places of a left side with these bounds lie on the grid."""
+        grid = self.grid
+        return not bounds[0] or not grid.depth or all(
+            lo <= a and b <= lo + grid.side for lo, a, b in zip(grid.low, bounds[1], bounds[2]))
+
 
 def _embedding(metric: str, lat: Column, lng: Column) -> list[Column]:
     return geo.unit_vector(lat, lng) if metric == "haversine" else [lat, lng]
 
 
-def _bounds(df: DataFrame, metric: str) -> tuple[int, list[float], list[float]]:
+def _bounds(df: DataFrame, metric: str) -> Bounds:
     """Row count and the lowest and highest value per axis."""
     vector = _embedding(metric, F.col("latitude"), F.col("longitude"))
     row = df.agg(F.count("*"), *[F.min(v) for v in vector], *[F.max(v) for v in vector]).first()
@@ -104,7 +113,7 @@ def _bounds(df: DataFrame, metric: str) -> tuple[int, list[float], list[float]]:
     return row[0], list(row[1:n + 1]), list(row[n + 1:])
 
 
-def _grid(metric: str, bounds: list[tuple[int, list[float], list[float]]]) -> Grid:
+def _grid(metric: str, bounds: list[Bounds]) -> Grid:
     known = [b for b in bounds if b[0]]
     low = [min(v) for v in zip(*[b[1] for b in known])]
     high = [max(v) for v in zip(*[b[2] for b in known])]
@@ -127,13 +136,15 @@ def _with_radians(df: DataFrame) -> DataFrame:
 
 
 def build_index(right: DataFrame, ids: list[str], *, searched_by: list[DataFrame] | None,
-                metric: str = "haversine", merge_copies: bool = True, stored: bool = False) -> PointIndex:
+                metric: str = "haversine", merge_copies: bool = True, stored: bool = False,
+                within: PointIndex | None = None) -> PointIndex:
     """Index ``right`` (latitude, longitude, ``ids``) for searches from ``searched_by``.
 
     With None as ``searched_by`` it can be searched from anywhere on the sphere.
     ``merge_copies`` keeps the lowest ``ids`` of equal positions; switch it off when the
     copies differ in something a search has to look at. ``stored`` says that ``right`` is
-    cheap to read again, so that it need not be written for the passes over it.
+    cheap to read again, so that it need not be written for the passes over it. The grid also
+    covers that of ``within``.
     """
     right = _positioned(right).select("latitude", "longitude", *ids)
     if merge_copies:
@@ -152,6 +163,8 @@ def build_index(right: DataFrame, ids: list[str], *, searched_by: list[DataFrame
             raise ValueError("only the sphere has bounds of its own")
         grid = _grid(metric, [(1, [-1.0] * 3, [1.0] * 3)])
     else:
+        if within is not None and within.grid.depth:
+            bounds.append((1, within.grid.low, [lo + within.grid.side for lo in within.grid.low]))
         grid = _grid(metric, bounds + [_bounds(_positioned(other), metric) for other in searched_by])
     points = prepared.select("*", *grid.places(F.col("latitude"), F.col("longitude")))
     return PointIndex(points, ids, total, grid, _occupied(grid, points))
@@ -306,7 +319,7 @@ def _candidate_lists(left: DataFrame, total: int, index: PointIndex, points: Dat
 def search(left: DataFrame, index: PointIndex, *, prefix: str = "", distance: str = "distance",
            other_than_self: bool = False, reach: DataFrame | None = None,
            accepts: Callable[[Column, Column], Column] | None = None, stored: bool = False,
-           wanted: str | None = None) -> DataFrame:
+           wanted: str | None = None, names: list[str] | None = None) -> DataFrame:
     """Each row of ``left`` with its nearest indexed point; ties go to the lowest ids.
 
     Left rows without coordinates, or without any eligible point, are left out.
@@ -338,7 +351,7 @@ def search(left: DataFrame, index: PointIndex, *, prefix: str = "", distance: st
         found = F.array_sort(_found(spherical, ids, extra, other_than_self, accepts))
         return _with_own_radians(rows, spherical).select(
             *columns, F.slice(found, F.lit(1), F.col(wanted).cast("int")).alias("found")).where(F.size("found") > 0)
-    names = [distance, *[prefix + i for i in [*ids, *extra]], prefix + "right_latitude", prefix + "right_longitude"]
+    names = names or [distance, *[prefix + i for i in [*ids, *extra]], prefix + "right_latitude", prefix + "right_longitude"]
     best = _minimum(rows, columns, spherical, names, ids, extra, other_than_self, accepts)
     return best.drop(*[prefix + e for e in extra])
 
@@ -381,19 +394,25 @@ def _measure(spherical: bool, c) -> Column:
     return geo.planar(F.col("latitude"), F.col("longitude"), c["latitude"], c["longitude"])
 
 
-def _few(left: DataFrame, rows: int, left_bounds, right: DataFrame, ids: list[str], metric: str, names: list[str],
-         other_than_self: bool) -> DataFrame:
+def _few(left: DataFrame, rows: int, left_bounds: Bounds, right: DataFrame, ids: list[str], metric: str, names: list[str],
+         other_than_self: bool, index: PointIndex | None = None) -> DataFrame:
     """The nearest point of each of a few stored left rows: scans of the right side, of which
     only counts of cells, and what lies within the bounds, are moved."""
     spherical = metric == "haversine"
-    right = _positioned(right).select("latitude", "longitude", *ids)
-    right_bounds = _bounds(right, metric)
+    if index is None:
+        right = _positioned(right).select("latitude", "longitude", *ids)
+        right_bounds = _bounds(right, metric)
+        right_rows = right_bounds[0]
+        grid = _grid(metric, [left_bounds, right_bounds]) if right_rows and left_bounds[0] else Grid(
+            metric, [0.0] * (3 if spherical else 2), 1.0, 1)
+        rights = right.select("*", *grid.places(F.col("latitude"), F.col("longitude")))
+        if spherical:
+            rights = _with_radians(rights)
+    else:
+        right_rows, grid, rights = index.rows, index.grid, right
     columns = [c for c in left.columns if c != "__row"]
-    grid = _grid(metric, [left_bounds, right_bounds]) if right_bounds[0] and left_bounds[0] else Grid(
-        metric, [0.0] * (3 if spherical else 2), 1.0, 1)
     placed = _positioned(left).select("*", *grid.places(F.col("latitude"), F.col("longitude")))
-    rights = right.select("*", *grid.places(F.col("latitude"), F.col("longitude")))
-    descent = Descent(grid, placed, rights, rows, right_bounds[0], other_than_self)
+    descent = Descent(grid, placed, rights, rows, right_rows, other_than_self)
     # the grid on which all cells of the right side, on its surface, meet all left rows
     level = max(1, min(grid.depth, int(math.log(max(4, FEW_PAIRS // max(1, rows)), 4))))
     front, front_rows, parent = None, 0, 0
@@ -403,8 +422,7 @@ def _few(left: DataFrame, rows: int, left_bounds, right: DataFrame, ids: list[st
         if not front_rows or held <= SCANNED or fullest <= LEAF or level == grid.depth:
             break
         parent, level = level, min(level + STEP, grid.depth)
-    if spherical:
-        rights, placed = _with_radians(rights), _with_own_radians(placed, True)
+    placed = _with_own_radians(placed, spherical)
     own = [F.col(c) for c in ["__row", "latitude", "longitude", *(["__rlat", "__rlng", "__clat"] if spherical else [])]]
     asked = placed.select(*own, *grid.up("__a", level)).join(front, grid.names("__a")).drop(*grid.names("__a"))
     asked = broadcast_if(asked, max(front_rows, rows))
@@ -466,15 +484,22 @@ def nearest(left: DataFrame, right: DataFrame, ids: list[str], *, metric: str =
     Few left rows go to the right side, which is then read and not written; it has to give the
     same rows each time. ``stored`` says that ``right`` is, and holds no copies.
     """
-    columns = left.columns
     names = [distance, *[prefix + i for i in ids], prefix + "right_latitude", prefix + "right_longitude"]
     kept = store(left.withColumn("__row", F.monotonically_increasing_id()))
     bounds = _bounds(_positioned(kept), metric)
     if bounds[0] <= FEW_ROWS:
         return _few(kept, bounds[0], bounds, right, ids, metric, names, other_than_self)
     index = build_index(right, ids, searched_by=[kept], metric=metric, merge_copies=not stored, stored=stored)
+    return _by_index(kept, bounds, index, names, other_than_self)
+
+
+def _by_index(kept: DataFrame, bounds: Bounds, index: PointIndex, names: list[str], other_than_self: bool) -> DataFrame:
+    """The nearest indexed point of stored rows with a __row: around them first, then by bounds."""
+    columns = [c for c in kept.columns if c != "__row"]
     if not index.grid.depth:
-        return search(kept, index, distance=distance, prefix=prefix, other_than_self=other_than_self).drop("__row")
+        return search(kept, index, names=names, other_than_self=other_than_self).drop("__row")
+    if bounds[0] <= FEW_ROWS:
+        return _few(kept, bounds[0], bounds, index.points, index.ids, index.grid.metric, names, other_than_self, index)
     placed = _positioned(kept).select("*", *index.grid.places(F.col("latitude"), F.col("longitude")))
     near = store(_around(placed, bounds[0], index, names, other_than_self).select("__row", *columns, *names))
     rest = store(kept.join(near.select("__row"), "__row", "left_anti"))
@@ -482,12 +507,35 @@ def nearest(left: DataFrame, right: DataFrame, ids: list[str], *, metric: str =
     if not rest_rows:
         return near.drop("__row")
     if rest_rows <= FEW_ROWS:
-        others = _few(rest, rest_rows, bounds, index.points, ids, metric, names, other_than_self)
+        others = _few(rest, rest_rows, bounds, index.points, index.ids, index.grid.metric, names, other_than_self, index)
     else:
-        others = search(rest.drop("__row"), index, distance=distance, prefix=prefix, other_than_self=other_than_self)
+        others = search(rest.drop("__row"), index, names=names, other_than_self=other_than_self)
     return near.drop("__row").unionByName(others)
 
 
+class Finder:
+    """The nearest points of one right side for one left side after another.
+
+    The right side is stored and indexed once; the index is made anew only when a left side
+    lies outside of what it covers.
+    """
+
+    def __init__(self, right: DataFrame, ids: list[str], metric: str = "haversine") -> None:
+        self.ids, self.metric, self.right = ids, metric, right
+        self.index: PointIndex | None = None
+        self.stored = False
+
+    def nearest(self, left: DataFrame, distance: str = "distance") -> DataFrame:
+        names = [distance, *self.ids, "right_latitude", "right_longitude"]
+        kept = store(left.withColumn("__row", F.monotonically_increasing_id()))
+        bounds = _bounds(_positioned(kept), self.metric)
+        if self.index is None or not self.index.covers(bounds):
+            self.index = build_index(self.right, self.ids, searched_by=[kept], metric=self.metric,
+                                     merge_copies=not self.stored, stored=self.stored, within=self.index)
+            self.right, self.stored = self.index.points.select("latitude", "longitude", *self.ids), True
+        return _by_index(kept, bounds, self.index, names, False)
+
+
 def nearest_other(points: DataFrame, metric: str = "planar") -> DataFrame:
     """Distance from each point to the nearest other point; zero when it has a copy."""
     columns = points.columns

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from kerbside.functions.scalars import utc_from_millis
-from kerbside.operators.nearest import nearest
+from kerbside.operators.nearest import Finder, nearest
 from kerbside.session import materialise
 from kerbside.sources.tables import Tables
 
@@ -62,15 +62,33 @@ def nearest_stops(moves: DataFrame, stops: DataFrame) -> DataFrame:
         "student_id", "stop_id", "distance", "timestamp", "offset")
 
 
-def apply_batch(tables: Tables, messages: DataFrame, batch_id: int, stream: str = "0", fold_every: int = 0) -> None:
-    """One micro-batch of the stream named; the stops are read anew each time.
+class StopSearch:
+    """Nearest stops of moves, batch after batch: stops are read and indexed anew only when
+    their table has a new version, or moves lead out of the indexed region."""
+
+    def __init__(self, tables: Tables) -> None:
+        self.tables = tables
+        self.version: int | None = None
+        self.finder: Finder | None = None
+
+    def __call__(self, moves: DataFrame) -> DataFrame:
+        version = self.tables.version("bus_stops")
+        if version != self.version:
+            self.finder, self.version = Finder(self.tables.read("bus_stops"), ["stop_id"]), version
+        return self.finder.nearest(last_moves(moves)).select(
+            "student_id", "stop_id", "distance", "timestamp", "offset")
+
+
+def apply_batch(tables: Tables, messages: DataFrame, batch_id: int, stream: str = "0", fold_every: int = 0,
+                search: StopSearch | None = None) -> None:
+    """One micro-batch of the stream named.
 
     With ``fold_every`` the changes are folded into the tables every so many batches.
     """
     moves = materialise(decode(messages))
     tables.commit("student_locations", stream, batch_id, moves)
     # without stops this writes no rows and no student changes stop
-    assigned = nearest_stops(moves, tables.read("bus_stops"))
+    assigned = (search or StopSearch(tables))(moves)
     tables.commit("assignments", stream, batch_id, assigned.withColumnsRenamed(
         {"timestamp": "changed_at", "offset": "changed_offset"}))
     if fold_every and (batch_id + 1) % fold_every == 0:
@@ -86,10 +104,11 @@ def start(messages: DataFrame, tables: Tables, checkpoint: str, fold_every: int
     """
     named = threading.Event()
     name: list[str] = []
+    search = StopSearch(tables)
 
     def batch(df: DataFrame, batch_id: int) -> None:
         named.wait()
-        apply_batch(tables, df, batch_id, name[0], fold_every)
+        apply_batch(tables, df, batch_id, name[0], fold_every, search)
 
     query = (messages.writeStream.foreachBatch(batch)
              .option("checkpointLocation", checkpoint).trigger(**trigger).start())

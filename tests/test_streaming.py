@@ -1,4 +1,5 @@
 import json
+import random
 
 import plain
 
@@ -90,6 +91,39 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     assert {s: before[0][s] for s in want} == want and before[1] == 20
 
 
+def test_stops_are_indexed_once_a_version(spark, tmp_path):
+    """Batches after the first take as many jobs each, until the stops change."""
+    rng = random.Random(8)
+    stops = [(i, 21 + rng.random() / 10, 105.8 + rng.random() / 10) for i in range(1000)]
+    tables = prepared(spark, tmp_path, stops=stops)
+    search, jobs = changes.StopSearch(tables), []
+    spots = {}
+    for number in range(4):
+        if number == 3:
+            tables.overwrite("bus_stops", spark.createDataFrame(
+                [(s, None, a, b) for s, a, b in stops[:40]], "stop_id long, road_id long, latitude double, longitude double"))
+        moved = [(100 * number + 100 + i, 21.02 + rng.random() / 20, 105.82 + rng.random() / 20) for i in range(30)]
+        rows = [(message(*m, 1), n) for n, m in enumerate(moved)]
+        spark.sparkContext.setJobGroup(f"batch-{number}", "")
+        changes.apply_batch(tables, spark.createDataFrame(rows, "value string, offset long"), number, search=search)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"batch-{number}")))
+        spots.update(plain.nearest(moved, stops if number < 3 else stops[:40]))
+    spark.sparkContext.setJobGroup("other", "")
+    assert {s: stop for s, stop in assigned(tables).items() if s >= 100} == {s: hit[1] for s, hit in spots.items()}
+    assert jobs[1] == jobs[2] < min(jobs[0], jobs[3])
+
+
+def test_moves_out_of_the_region_are_found(spark, tmp_path):
+    rng = random.Random(2)
+    stops = [(i, 21 + rng.random() / 10, 105.8 + rng.random() / 10) for i in range(100)]
+    search = changes.StopSearch(prepared(spark, tmp_path, stops=stops))
+    for moved in ([(1, 21.05, 105.85)], [(2, -33.0, -70.0), (3, 21.01, 105.81)], [(4, 50.0, 179.0)]):
+        rows = [(message(*m, 1), n) for n, m in enumerate(moved)]
+        moves = changes.decode(spark.createDataFrame(rows, "value string, offset long"))
+        got = {r["student_id"]: r["stop_id"] for r in search(moves).collect()}
+        assert got == {i: hit[1] for i, hit in plain.nearest(moved, stops).items()}
+
+
 def test_without_stops_only_the_history_grows(spark, tmp_path):
     tables = prepared(spark, tmp_path, stops=[])
     changes.apply_batch(tables, spark.createDataFrame([(message(7, 21.0, 105.8, 5), 1)], "value string, offset long"), 0)
