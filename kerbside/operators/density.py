@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions import geo
@@ -12,7 +12,7 @@ from kerbside.operators.components import connected_components
 from kerbside.operators.nearest import nearest_other
 from kerbside.operators.ordering import next_values
 from kerbside.operators.skew import join_unique
-from kerbside.session import materialise
+from kerbside.session import materialise, store
 
 NOISE = -1
 _TRIED_PAIRS = 256   # point pairs of two cells that are compared outright
@@ -118,26 +118,26 @@ def _linked_cells(places: DataFrame, pairs: DataFrame, side: float, eps: float)
     return linked.distinct()
 
 
-def dbscan(points: DataFrame, eps: float, id_column: str = "student_id") -> DataFrame:
-    """Points with ``label``: groups of two or more linked by steps of at most ``eps``.
+def _offsets(half: bool) -> list[tuple[int, int]]:
+    """Cells that may hold neighbours of a cell's points: all, or half of them without the cell."""
+    around = [(y, x) for y in range(-2, 3) for x in range(-2, 3)]
+    return [(y, x) for y, x in around if y > 0 or (y == 0 and x > 0)] if half else around
 
-    This is density clustering with two samples per neighbourhood, where every point with
-    a neighbour is a core point. A cluster is labelled with its lowest id, a lone point
-    with -1. Cells are so small that all points of one are neighbours, so cells and not
-    points are linked.
-    """
-    if not eps > 0:
-        raise ValueError("the radius must be positive")
-    side = eps / math.sqrt(2) * (1 - 1e-9)
+
+def _near_cells(half: bool) -> Column:
+    return F.explode(F.array(*[F.struct(F.lit(y).alias("y"), F.lit(x).alias("x")) for y, x in _offsets(half)]))
+
+
+def _cell_components(points: DataFrame, eps: float, side: float, id_column: str) -> DataFrame:
+    """(cy, cx, node, points, component): occupied cells, their lowest id and point count, and the
+    lowest node that linked cells lead to (null for a cell without links)."""
     cy, cx = F.floor(F.col("latitude") / side), F.floor(F.col("longitude") / side)
     cells = materialise(
         points.groupBy(cy.alias("cy"), cx.alias("cx"))
         .agg(F.min(id_column).alias("node"), F.count("*").alias("points")))
     # half of the surrounding cells, as the relation is symmetric
-    around = [(y, x) for y in range(0, 3) for x in range(-2, 3) if y > 0 or x > 0]
-    offsets = F.explode(F.array(*[F.struct(F.lit(y).alias("y"), F.lit(x).alias("x")) for y, x in around]))
     reached = cells.select(F.col("node").alias("a_node"), F.col("cy").alias("ay"), F.col("cx").alias("ax"),
-                           F.col("points").alias("a_points"), offsets.alias("o"))
+                           F.col("points").alias("a_points"), _near_cells(half=True).alias("o"))
     reached = reached.withColumn("by", F.expr("ay + o.y")).withColumn("bx", F.expr("ax + o.x")).drop("o")
     others = cells.select(F.col("node").alias("b_node"), F.col("cy").alias("by"), F.col("cx").alias("bx"),
                           F.col("points").alias("b_points"))
@@ -148,12 +148,68 @@ def dbscan(points: DataFrame, eps: float, id_column: str = "student_id") -> Data
     places = materialise(join_unique(places, cells.select("cy", "cx", "node"), ["cy", "cx"], sizes, total))
     links = _linked_cells(places, pairs, side, eps)
     groups = connected_components(links.selectExpr("a_node AS u", "b_node AS v"))
-    labels = cells.join(groups, cells["node"] == groups["node"], "left").select(
-        "cy", "cx", F.coalesce("component", F.when(F.col("points") > 1, cells["node"]),
-                               F.lit(NOISE)).alias("label"))
+    return cells.join(groups, cells["node"] == groups["node"], "left").select(
+        "cy", "cx", cells["node"], "points", "component")
+
+
+def dbscan(points: DataFrame, eps: float, id_column: str = "student_id", min_samples: int = 2) -> DataFrame:
+    """Points with ``label``: density clusters of radius ``eps``, named by their lowest core id.
+
+    A core point has ``min_samples`` points within the radius, itself included. Clusters are the
+    core points linked by steps of at most ``eps``; another point within reach of core points
+    gets the lowest label among them, any other -1. With two samples every point with a
+    neighbour is a core point. Cells are so small that all points of one are neighbours, so
+    cells and not points are linked. Ids are unique; points without coordinates get -1.
+    """
+    if not eps > 0:
+        raise ValueError("the radius must be positive")
+    side = eps / math.sqrt(2) * (1 - 1e-9)
+    cy, cx = F.floor(F.col("latitude") / side), F.floor(F.col("longitude") / side)
+    if min_samples != 2:
+        return _general(points, eps, side, id_column, min_samples)
+    cells = materialise(_cell_components(points, eps, side, id_column))
+    labels = cells.select("cy", "cx", F.coalesce(
+        "component", F.when(F.col("points") > 1, F.col("node")), F.lit(NOISE)).alias("label"))
+    sizes = cells.select("cy", "cx", F.col("points").alias("rows"))
+    total = cells.agg(F.coalesce(F.sum("points"), F.lit(0))).first()[0]
     keyed = points.withColumn("cy", cy).withColumn("cx", cx)
     return join_unique(keyed, labels, ["cy", "cx"], sizes, total).drop("cy", "cx")
 
 
+def _within(few: DataFrame, others: DataFrame, eps: float, values: list[str]) -> DataFrame:
+    """Pairs of ``few`` and ``others`` (both with cells) within the radius: id and the values.
+
+    A cell has fewer than ``min_samples`` of the few, so a point of the others meets no more than
+    that many from each cell around it.
+    """
+    asked = few.select("id", F.col("latitude").alias("lat"), F.col("longitude").alias("lng"), "cy", "cx",
+                       _near_cells(half=False).alias("o"))
+    asked = asked.select("id", "lat", "lng", F.expr("cy + o.y AS cy"), F.expr("cx + o.x AS cx"))
+    met = asked.join(others, ["cy", "cx"])
+    return met.where(geo.planar(F.col("lat"), F.col("lng"), F.col("latitude"), F.col("longitude")) <= eps).select(
+        asked["id"], *values)
+
+
+def _general(points: DataFrame, eps: float, side: float, id_column: str, min_samples: int) -> DataFrame:
+    cell = ["cy", "cx"]
+    placed = store(points.where("latitude IS NOT NULL AND longitude IS NOT NULL").select(
+        F.col(id_column).alias("id"), "latitude", "longitude",
+        F.floor(F.col("latitude") / side).alias("cy"), F.floor(F.col("longitude") / side).alias("cx")))
+    # all points of a cell with enough of them are core points; only others are counted
+    sizes = store(placed.groupBy(*cell).agg(F.count("*").alias("rows")))
+    light = sizes.where(F.col("rows") < min_samples).select(*cell)
+    few = store(placed.join(light, cell, "left_semi"))
+    counted = _within(few, placed.drop("id"), eps, []).groupBy("id").agg(F.count("*").alias("n"))
+    dense = counted.where(F.col("n") >= min_samples).select("id")
+    core = store(placed.join(light, cell, "left_anti").unionByName(few.join(dense, "id", "left_semi").select(*placed.columns)))
+    parts = _cell_components(core, eps, side, "id").select(*cell, F.coalesce("component", "node").alias("label"))
+    total = placed.count()
+    labelled = store(join_unique(core, parts, cell, sizes, total))
+    border = few.join(core.select("id"), "id", "left_anti")
+    reached = _within(border, labelled.drop("id"), eps, ["label"]).groupBy("id").agg(F.min("label").alias("label"))
+    labels = labelled.select("id", "label").unionByName(reached).withColumnRenamed("id", id_column)
+    return points.join(labels, id_column, "left").select(*points.columns, F.coalesce("label", F.lit(NOISE)).alias("label"))
+
+
 def cluster_count(labelled: DataFrame) -> DataFrame:
     return labelled.where(F.col("label") != NOISE).agg(F.count_distinct("label").alias("n_clusters"))

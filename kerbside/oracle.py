@@ -145,7 +145,8 @@ _UPSERTED = _WITH_LAST + _UPSERTED_ROWS
 
 
 def _lloyd(rounds: int) -> str:
-    parts = ["c0 AS (SELECT cluster_id, latitude, longitude FROM student_clusters WHERE cluster_id % 6 = 1)"]
+    parts = ["c0 AS MATERIALIZED (SELECT zone + 1 AS cluster_id, arg_min(latitude, student_id) AS latitude,"
+             " arg_min(longitude, student_id) AS longitude FROM students GROUP BY zone)"]
     for i in range(rounds + 1):
         d = _planar("a", "b")
         parts.append(f"l{i} AS MATERIALIZED (SELECT a.student_id, b.cluster_id, a.latitude, a.longitude"
@@ -200,6 +201,19 @@ SELECT latitude, round(lead(latitude) OVER (ORDER BY latitude) - latitude, 9) AS
 SELECT round(eps, 12) AS eps FROM radius""",
     "dbscan_labels": f"""{with_sql("students", recursive=True)}, {_COMPONENTS.format(planar=_planar("a", "b"), eps=RADIUS)}
 SELECT student_id, label FROM labels""",
+    "dbscan_min_samples": f"""{with_sql("students", recursive=True)},
+pairs AS MATERIALIZED (
+  SELECT a.student_id AS u, b.student_id AS v FROM students a JOIN students b ON {_planar("a", "b")} <= CAST(0.0004 AS DOUBLE)),
+core AS MATERIALIZED (SELECT u AS id FROM pairs GROUP BY u HAVING count(*) >= 4),
+links AS MATERIALIZED (SELECT u, v FROM pairs WHERE u IN (SELECT id FROM core) AND v IN (SELECT id FROM core)),
+reach(node, label) AS (
+  SELECT id, id FROM core
+  UNION
+  SELECT links.v, reach.label FROM reach JOIN links ON links.u = reach.node AND reach.label < links.v),
+groups AS MATERIALIZED (SELECT node, min(label) AS label FROM reach GROUP BY node),
+near AS (SELECT p.u AS id, min(g.label) AS label FROM pairs p JOIN groups g ON g.node = p.v GROUP BY p.u)
+SELECT s.student_id, coalesce(g.label, n.label, -1) AS label FROM students s
+LEFT JOIN groups g ON g.node = s.student_id LEFT JOIN near n ON n.id = s.student_id""",
     "dbscan_count": f"""{with_sql("students", recursive=True)}, {_STEPS},
 {_COMPONENTS.format(planar=_planar("a", "b"), eps="(SELECT eps FROM radius)")}
 SELECT count(DISTINCT label) FILTER (WHERE label <> -1) AS n_clusters FROM labels""",

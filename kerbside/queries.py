@@ -25,6 +25,7 @@ QUERIES: dict[str, Query] = {}
 WALK_M = 600.0        # walking distance of the coverage queries
 COVERAGE = 0.9
 RADIUS = 0.002        # degrees, radius of the density queries
+SAMPLED_RADIUS = 0.0004
 SEED = 42
 
 
@@ -142,6 +143,12 @@ def dbscan_labels(spark, d):
     return density.dbscan(fx.students(spark, d), RADIUS).select("student_id", "label")
 
 
+@query
+def dbscan_min_samples(spark, d):
+    """Four samples a neighbourhood: core, border and noise points."""
+    return density.dbscan(fx.students(spark, d), SAMPLED_RADIUS, min_samples=4).select("student_id", "label")
+
+
 @query
 def dbscan_count(spark, d):
     """Cluster count at the radius the k-distance curve suggests: where the search starts."""
@@ -151,8 +158,9 @@ def dbscan_count(spark, d):
 
 @query
 def kmeans_lloyd(spark, d):
-    """Three rounds of k-means from five centres in a row; new centres and their points."""
-    start = fx.student_clusters(spark, d).where("cluster_id % 6 = 1")
+    """Three rounds of k-means from the first student of every zone; new centres and their points."""
+    start = fx.students(spark, d).groupBy((F.col("zone") + 1).alias("cluster_id")).agg(
+        F.min_by("latitude", "student_id").alias("latitude"), F.min_by("longitude", "student_id").alias("longitude"))
     labelled, moved = centres.lloyd(fx.students(spark, d), materialise(start), iterations=3)
     sizes = labelled.groupBy("cluster_id").agg(F.count("*").alias("points"))
     return moved.join(sizes, "cluster_id", "left").select(

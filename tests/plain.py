@@ -43,6 +43,21 @@ def components(points, eps):
     return {i: root(i) if i in linked else -1 for i in parent}
 
 
+def dbscan(points, eps, samples):
+    """{id: label}: clusters of core points by lowest core id, border points with the lowest label."""
+    near = {i: [j for j, c, d in points if planar(a, b, c, d) <= eps] for i, a, b in points}
+    core = {i for i, others in near.items() if len(others) >= samples}
+    label = {}
+    for i in sorted(core):
+        stack = [i] if i not in label else []
+        while stack:
+            at = stack.pop()
+            if at in core and at not in label:
+                label[at] = i
+                stack += near[at]
+    return {i: label.get(i, min((label[j] for j in near[i] if j in core), default=-1)) for i in near}
+
+
 def greedy(stops, buses, demand):
     """{bus: (stop, students)}, edges taken in order of distance, stop, bus."""
     edges = sorted((haversine(a, b, c, d), s, bus, seats) for s, a, b in stops for bus, c, d, seats in buses)

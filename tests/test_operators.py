@@ -118,6 +118,16 @@ def test_dbscan_on_scattered_and_copied_points(spark):
     assert density.cluster_count(density.dbscan(df, 0.0012)).first()[0] == len(set(got.values()) - {-1})
 
 
+@pytest.mark.parametrize("samples", [1, 3, 4, 12])
+def test_dbscan_of_any_number_of_samples(spark, samples):
+    rng = random.Random(14)
+    points = [(i, 21 + rng.random() * 0.02, 105 + rng.random() * 0.02) for i in range(220)]
+    points += [(1000 + i, 21.01 + rng.random() * 0.001, 105.01 + rng.random() * 0.001) for i in range(60)]
+    points += [(1500 + i, 22.0, 106.0) for i in range(5)] + [(2000, 30.0, 30.0), (2001, 22.0005, 106.0)]
+    df = spark.createDataFrame(points + [(3000, None, 1.0)], f"student_id long, {POINT}")
+    assert labels(density.dbscan(df, 0.0012, min_samples=samples)) == {**plain.dbscan(points, 0.0012, samples), 3000: -1}
+
+
 @pytest.mark.parametrize("gap", [0.99, 1.01])
 def test_dbscan_splits_full_cells(spark, gap):
     """Two crowds that face each other at a little less, or more, than the radius."""
