@@ -269,6 +269,21 @@ SELECT road_id, longitude, latitude, CAST(row_number() OVER (PARTITION BY road_i
 FROM road_points""",
     "road_names": f"""{with_sql("roads")}
 SELECT road_id, coalesce(name, '{UNNAMED_ROAD}') AS name FROM roads""",
+    "students_in_boundary": f"""{with_sql("students")},
+corners AS (
+  SELECT zone, unnest([0, 1, 2, 3]) AS "order", unnest([
+    arg_min({{'y': latitude, 'x': longitude}}, {{'a': latitude, 'i': student_id}}),
+    arg_max({{'y': latitude, 'x': longitude}}, {{'a': longitude, 'i': student_id}}),
+    arg_max({{'y': latitude, 'x': longitude}}, {{'a': latitude, 'i': student_id}}),
+    arg_min({{'y': latitude, 'x': longitude}}, {{'a': longitude, 'i': student_id}})]) AS v
+  FROM students GROUP BY zone),
+edges AS (
+  SELECT a.zone, a.v.y AS y1, a.v.x AS x1, b.v.y AS y2, b.v.x AS x2
+  FROM corners a JOIN corners b ON a.zone = b.zone AND b."order" = (a."order" + 1) % 4)
+SELECT s.student_id, e.zone FROM students s JOIN edges e
+ON (e.y1 <= s.latitude) <> (e.y2 <= s.latitude)
+  AND s.longitude < (e.x2 - e.x1) * ((s.latitude - e.y1) / (e.y2 - e.y1)) + e.x1
+GROUP BY s.student_id, e.zone HAVING count(*) % 2 = 1""",
     "surrogate_keys": f"""{with_sql("road_points")}
 SELECT road_id, "order", row_number() OVER (ORDER BY road_id, "order") AS row_id FROM road_points""",
     "first_students": f"""{with_sql("students")}

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from kerbside import fixtures as fx
 from kerbside.functions import geo
 from kerbside.functions.scalars import bus_seats, person_name, road_name, through_float32, whole_metres
-from kerbside.operators import centres, density, matching, ordering, sampling, updates
+from kerbside.operators import boundary, centres, density, matching, ordering, sampling, updates
 from kerbside.operators.nearest import nearest, nearest_other
 from kerbside.plans import pickup, seeding, views
 from kerbside.session import ensure_checkpoint_dir, materialise
@@ -303,6 +303,20 @@ def road_names(spark, d):
     return files.roads(fx.roads(spark, d))
 
 
+@query
+def students_in_boundary(spark, d):
+    """Students inside the outline of a zone: a ring through its four outermost students."""
+    students = fx.students(spark, d)
+    corners = [("min", "latitude"), ("max", "longitude"), ("max", "latitude"), ("min", "longitude")]
+    at = F.struct("latitude", "longitude")
+    outline = students.groupBy("zone").agg(*[
+        (F.min_by if side == "min" else F.max_by)(at, F.struct(axis, "student_id")).alias(f"v{i}")
+        for i, (side, axis) in enumerate(corners)])
+    rings = outline.select("zone", F.posexplode(F.array("v0", "v1", "v2", "v3")).alias("order", "v")).select(
+        "zone", "order", "v.latitude", "v.longitude")
+    return boundary.inside(students.drop("zone"), rings, "zone", "student_id")
+
+
 # --- order, samples, seeding -----------------------------------------------------------
 
 @query

@@ -1,10 +1,11 @@
+import math
 import random
 
 import plain
 import pytest
 from pyspark.sql import functions as F
 
-from kerbside.operators import centres, density, matching, ordering, sampling, skew, updates
+from kerbside.operators import boundary, centres, density, matching, ordering, sampling, skew, updates
 from kerbside.operators import nearest as N
 from kerbside.operators.components import connected_components
 
@@ -54,6 +55,56 @@ def test_pages_near_and_far(spark):
     assert ordering.page_count(df.limit(0)).first()["pages"] == 0
 
 
+def exchanges_of_rows(spark, df):
+    """Shuffles in all jobs that led to ``df``, as the SQL plans of its written parts show them."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_numbers_and_followers_need_no_second_shuffle(spark, monkeypatch):
+    plans = []
+    real = ordering.materialise
+    monkeypatch.setattr(ordering, "materialise", lambda df: (plans.append(
+        df._jdf.queryExecution().executedPlan().toString()), real(df))[1])
+    df = spark.range(1000).selectExpr("id AS k", "id % 7 AS v")
+    for result in (ordering.zip_with_index(df, "k", name="n"), ordering.next_values(df, "k")):
+        assert exchanges_of_rows(spark, result.select("k")) <= 1    # of the one row per partition
+    assert len(plans) == 2 and all(p.count("Exchange ") == 1 for p in plans)
+
+
+def test_next_values_of_few_equal_and_no_values(spark):
+    def steps(rows):
+        return {r["x"]: r["next"] for r in ordering.next_values(spark.createDataFrame(rows, "x double"), "x").collect()}
+    assert steps([]) == {} and steps([(None,)]) == {} and steps([(2.0,)] * 50) == {2.0: None}
+    assert steps([(2.0,), (1.0,), (None,)] * 9) == {1.0: 2.0, 2.0: None}
+
+
+# --- boundaries ------------------------------------------------------------------------
+
+def plain_inside(ring, y, x):
+    odd = False
+    for (y1, x1), (y2, x2) in zip(ring, ring[1:] + ring[:1]):
+        if (y1 <= y) != (y2 <= y) and x < (x2 - x1) * ((y - y1) / (y2 - y1)) + x1:
+            odd = not odd
+    return odd
+
+
+def test_points_inside_rings(spark):
+    rng = random.Random(3)
+    star = [(21 + r * math.sin(a / 5 * math.pi), 105 + r * math.cos(a / 5 * math.pi)) for a, r in zip(range(10), [1, .4] * 5)]
+    rings = {"star": star, "box": [(20.5, 104.5), (20.5, 105.0), (21.0, 105.0), (21.0, 104.5)], "line": [(21.0, 105.0), (22.0, 105.0)],
+             "dot": [(21.0, 105.0)], "flat": [(21.0, 104.0), (21.0, 106.0), (21.0, 105.0)]}
+    points = [(i, 20 + rng.random() * 2, 104 + rng.random() * 2) for i in range(400)]
+    points += [(1000 + i, y, x) for i, (y, x) in enumerate([*star, *rings["box"], (20.5, 104.7), (21.0, 104.7), (20.7, 104.5), (20.7, 105.0)])]
+    got = boundary.inside(
+        spark.createDataFrame([*points, (5000, None, 105.0)], f"id long, {POINT}"),
+        spark.createDataFrame([(k, i, *v) for k, ring in rings.items() for i, v in enumerate(ring)], f"name string, order int, {POINT}"),
+        "name", "id")
+    want = {(i, k) for i, y, x in points for k, ring in rings.items() if plain_inside(ring, y, x)}
+    assert set(map(tuple, got.collect())) == want and {(1000, "star"), (1010, "box")} & want
+    none = spark.createDataFrame([], f"name string, order int, {POINT}")
+    assert boundary.inside(spark.createDataFrame(points, f"id long, {POINT}"), none, "name", "id").count() == 0
+
+
 # --- samples and updates ---------------------------------------------------------------
 
 def test_sampling_is_repeatable_and_without_replacement(spark):
