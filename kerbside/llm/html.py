@@ -44,6 +44,12 @@ AROUND = {"nav", "navbar", "navigation", "menu", "menubar", "header", "masthead"
           "cookies", "consent", "gdpr", "notice", "notices", "alert", "popup", "modal", "overlay", "breadcrumb",
           "breadcrumbs", "pagination", "pager", "related", "recommended", "share", "sharing", "social", "widget",
           "toolbar", "copyright", "legal", "contentinfo", "dialog", "skip", "tags"}
+# Those of them that never hold an article, and words that may stand beside these in a name.
+NEVER = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "sponsor", "sponsored", "promo", "promotion", "login",
+         "signup", "subscribe", "newsletter", "comment", "comments", "commentlist", "disqus", "respond", "reply", "replies",
+         "discussion", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "alert", "popup", "modal"}
+BESIDE = {"area", "bar", "block", "body", "box", "container", "content", "group", "inner", "item", "list", "panel", "section",
+          "slot", "text", "thread", "unit", "wrap", "wrapper"}
 ARTICLE = {"article", "main", "content", "post", "entry", "story", "articlebody", "maincontent"}
 # Whole names of the text itself, which outweigh what a part around them is called.
 BODY = {"article-body", "article-content", "article-text", "articlebody", "entry-content", "maincontent", "main-content",
@@ -58,10 +64,19 @@ _NAMES = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s
 
 
 def _zone(tag: str, attributes: str, outer: int) -> int:
-    """1 in an article, -1 in what lies around it by name, -2 by tag, 0 where nothing is said.
+    """1 in an article, -1 in what lies around it by name or in a form, -2 by tag, -3 in what never
+    is part of an article, such as comments and adverts, 0 where nothing is said.
 
     Names count whole, or where each of their parts is such a word: no-sidebar is not a sidebar.
     """
+    names: set[str] = set()
+    if attributes and "=" in attributes:
+        names = {name for value in _NAMES.findall(attributes) for name in value.strip("\"'").lower().split()}
+    parts = [re.split("[-_]+", name) for name in names]
+    if outer == -3 or tag not in ("html", "body") and any(
+            any(part in NEVER for part in p) and all(part in AROUND or part in NEVER or part in BESIDE for part in p)
+            for p in parts):
+        return -3
     if tag in ("article", "main"):
         return 1
     if tag in SURROUNDING:
@@ -70,9 +85,8 @@ def _zone(tag: str, attributes: str, outer: int) -> int:
         return outer if outer == 1 else -2
     if tag == "form":   # may hold a whole page
         outer = -2 if outer == 1 else min(outer, -1)
-    if attributes and "=" in attributes:
-        names = {name for value in _NAMES.findall(attributes) for name in value.strip("\"'").lower().split()}
-        around = any(all(part in AROUND for part in re.split("[-_]+", name)) for name in names)
+    if names:
+        around = any(all(part in AROUND for part in p) for p in parts)
         if names & BODY and outer >= -1:
             return 1
         if names & ARTICLE and outer >= 0 and not around:
@@ -89,13 +103,14 @@ def _is_closed(page: str, tag: str, at: int) -> bool:
     return bool(found) and (nested or found[1] == "/")
 
 
-def blocks(page: str) -> list[tuple[str, float, int]]:
-    """(text, share of linked characters, zone) of the text blocks in page order."""
-    out: list[tuple[str, float, int]] = []
+def blocks(page: str) -> list[tuple[str, float, int, int]]:
+    """(text, share of linked characters, zone, box) of the text blocks in page order; the box is the
+    place of the outermost element of zone -1 that holds the block, else 0."""
+    out: list[tuple[str, float, int, int]] = []
     texts: list[str] = []
     linked = links = 0
-    open_tags: list[tuple[str, int, bool]] = []   # tag, zone, hidden
-    zone, hidden, at = 0, False, 0
+    open_tags: list[tuple[str, int, bool, int]] = []   # tag, zone, hidden, box
+    zone, hidden, box, at = 0, False, 0, 0
     missing: set[str] = set()
     unclosed = 0   # hidden elements open now whose end tag is missing
 
@@ -105,13 +120,13 @@ def blocks(page: str) -> list[tuple[str, float, int]]:
             text = " ".join("".join(texts).split())
             texts.clear()
             if text:
-                out.append((text, min(1.0, linked / len(text)), zone))
+                out.append((text, min(1.0, linked / len(text)), zone, box))
         linked = 0
 
     def leave() -> None:
         """Close the innermost open element."""
-        nonlocal zone, hidden, unclosed
-        name, zone, hidden = open_tags.pop()
+        nonlocal zone, hidden, box, unclosed
+        name, zone, hidden, box = open_tags.pop()
         unclosed -= name.startswith("!")
 
     def add(raw: str) -> None:
@@ -157,7 +172,7 @@ def blocks(page: str) -> list[tuple[str, float, int]]:
         if closing:
             flush()
             links = 0
-            if any(t == tag for t, _, _ in open_tags):
+            if any(t == tag for t, *_ in open_tags):
                 while open_tags[-1][0] != tag:
                     leave()
                 leave()
@@ -176,7 +191,7 @@ def blocks(page: str) -> list[tuple[str, float, int]]:
             unclosed += 1
             if tag in NESTED:
                 missing.add(tag)   # there is no end tag on the rest of the page
-        open_tags.append((tag if closed else "!" + tag, zone, hidden))   # no end tag has such a name
+        open_tags.append((tag if closed else "!" + tag, zone, hidden, box))   # no end tag has such a name
         if tag in HIDDEN:
             hidden = True
             if tag in RAW:
@@ -184,6 +199,8 @@ def blocks(page: str) -> list[tuple[str, float, int]]:
                 at = end.start() if end else length
             continue
         zone = _zone(tag, attributes, zone)
+        if zone == -1 and not box:
+            box = at
     flush()
     return out
 
@@ -245,13 +262,30 @@ def label(tree: tuple, features: tuple) -> int:
     return tree[0]
 
 
+def unwrapped(found: list[tuple[str, float, int, int]]) -> list[tuple[str, float, int]]:
+    """The blocks with their zone, which is -1 only in a name or form that wraps the page, else -2.
+
+    A box does so if it holds the article, and, where no article is told apart, if such boxes
+    hold most of the words.
+    """
+    wrappers = {box for _, _, zone, box in found if zone == 1 and box}
+    if not any(zone == 1 for _, _, zone, _ in found):
+        words = {-1: 0, 0: 0}
+        for text, _, zone, _ in found:
+            if zone in words:
+                words[zone] += text.count(" ") + 1
+        if words[-1] > words[0]:
+            wrappers = {box for _, _, zone, box in found if zone == -1}
+    return [(text, linked, -2 if zone == -1 and box not in wrappers else zone) for text, linked, zone, box in found]
+
+
 def main_text(page: str, tree: tuple) -> str:
     """The blocks that the tree takes for the article, in page order, one space between."""
-    found = blocks(page)
+    found = unwrapped(blocks(page))
     sizes = [(text.count(" ") + 1, linked) for text, linked, _ in found]
     edged = [(0, 0.0), *sizes, (0, 0.0)]
     kept = [text for i, (text, _, zone) in enumerate(found)
-            if label(tree, (*edged[i + 1], *edged[i], *edged[i + 2], zone))]
+            if label(tree, (*edged[i + 1], *edged[i], *edged[i + 2], max(zone, -2)))]
     return " ".join(kept)
 
 

@@ -448,3 +448,30 @@ LONG = " ".join(f"word{i} of the story" for i in range(40))
 ])
 def test_html_in_wrappers_without_article(page, text):
     assert html.main_text(page, html.grow()) == text
+
+
+@pytest.mark.parametrize("around", [
+    '<div class="comments"><p>{}</p></div>', '<ol class="comment-list"><li>{}</ol>', '<div class="comments-area"><p>{}</p></div>',
+    '<div class="advert"><p>{}</p></div>', '<div class="sidebar"><p>{}</p></div>', '<div class="cookie-notice"><p>{}</p></div>',
+    '<form class="newsletter"><p>{}</p></form>', '<form><p>{}</p></form>', '<div class="header"><p>{}</p></div>',
+    '<div class="comments"><article class="comment"><p>{}</p></article></div>',
+    '<div id="comments"><article><div class="entry-content">{}</div></article></div>', '<div class="ad-slot">{}</div>'])
+@pytest.mark.parametrize("words", [5, 150, 2000])
+def test_html_leaves_out_what_is_named(around, words):
+    """However long, before or after the article, told apart by tag or by name."""
+    tree, other = html.grow(), around.format(" ".join(["remark"] * words))
+    for article in ("<article><h1>Title</h1><p>Short text.</p></article>", '<div class="entry-content"><p>Short text.</p></div>'):
+        want = " ".join(re.findall("Title|Short text.", article))
+        assert html.main_text(f"<body>{other}{article}{other}</body>", tree) == want
+
+
+def test_html_leaves_out_comments_in_the_article():
+    page = f'<article><p>Short text.</p><section id="comments"><h2>All</h2><p>{"remark " * 200}</p></section></article>'
+    assert html.main_text(page, html.grow()) == "Short text."
+
+
+@pytest.mark.parametrize("wrapper", ['<form id="aspnetForm">', '<div class="sidebar">', '<div class="widget header">'])
+def test_html_wrapped_as_a_whole(wrapper):
+    menu = "<ul>" + "".join(f"<li><a href=/{i}>Item {i}</a>" for i in range(9)) + "</ul>"
+    page = f"<body>{wrapper}{menu}<p>{LONG}</p><p>{LONG}</p><div class='comments'><p>{LONG}</p></div></body>"
+    assert html.main_text(page, html.grow()) == f"{LONG} {LONG}"
