@@ -161,6 +161,13 @@ def _lloyd(rounds: int) -> str:
             f" (SELECT count(*) FROM l{rounds} l WHERE l.cluster_id = c.cluster_id) AS points FROM c{rounds} c")
 
 
+_POINTS = """
+points AS (
+  SELECT *, osm_id || '|' || CAST(longitude AS VARCHAR) || '|' || CAST(latitude AS VARCHAR) AS place FROM (
+    SELECT 'n' || lpad(CAST(student_id AS VARCHAR), 8, '0') AS osm_id, name || ', "' || address || '"' AS name,
+      CAST(CAST(longitude AS FLOAT) AS DOUBLE) AS longitude, CAST(CAST(latitude AS FLOAT) AS DOUBLE) AS latitude
+    FROM students))"""
+
 ORACLES: dict[str, str] = {
     "nearest_road_point": f"""{with_sql("student_clusters", "road_points")},
 {_nearest("student_clusters", "road_points", "cluster_id", ["road_id", "order"])}
@@ -304,6 +311,26 @@ SELECT student_id, address, latitude, longitude FROM relocated""",
 SELECT s.student_id, round(coalesce(b.latitude, s.latitude), 9) AS latitude,
   round(coalesce(b.longitude, s.longitude), 9) AS longitude
 FROM students s LEFT JOIN some_assignments a ON s.student_id = a.student_id LEFT JOIN zone_stops b ON a.stop_id = b.stop_id""",
+    "points_csv": f"""{with_sql("students")}
+SELECT 'n' || lpad(CAST(student_id AS VARCHAR), 8, '0') AS osm_id, name || ', "' || address || '"' AS name, longitude, latitude
+FROM students""",
+    "seed_students": f"""{with_sql("students")}, {_POINTS},
+seeded AS (
+  SELECT row_number() OVER (ORDER BY osm_id, longitude, latitude) AS student_id, name AS address, longitude, latitude
+  FROM points ORDER BY osm_id, longitude, latitude LIMIT 1000)
+SELECT *, {_pick(GIVEN_NAMES, "student_id", "given")} || ' ' || {_pick(FAMILY_NAMES, "student_id", "family")} AS name FROM seeded""",
+    "seed_buses": f"""{with_sql("students")}, {_POINTS},
+drawn AS (SELECT * FROM points ORDER BY {_hash("place", "sample")}, place LIMIT 40),
+seeded AS (SELECT row_number() OVER (ORDER BY place) AS bus_id, latitude, longitude FROM drawn)
+SELECT *, {_pick(BUS_SEATS, "bus_id", "seats")} AS capacity FROM seeded""",
+    "student_upload": f"""{with_sql("students")}
+SELECT student_id, address, longitude, latitude, name FROM students""",
+    "geojson_roads": f"""{with_sql("road_points", "roads")}
+SELECT p.road_id, coalesce(r.name, '{UNNAMED_ROAD}') AS name, p.longitude, p.latitude,
+  CAST(row_number() OVER (PARTITION BY p.road_id ORDER BY p."order") - 1 AS INTEGER) AS "order"
+FROM road_points p JOIN roads r ON p.road_id = r.road_id""",
+    "cluster_stop_map": f"""{with_sql("student_clusters")}
+SELECT cluster_id AS stop_id, cluster_id FROM student_clusters""",
     "cdc_location_history": f"""{with_sql("student_changes")}
 SELECT student_id, latitude, longitude, ts_ms AS moved_at
 FROM student_changes WHERE op <> 'd'""",

@@ -22,6 +22,11 @@ def site_stops(clusters: DataFrame, road_points: DataFrame) -> DataFrame:
         F.col("right_latitude").alias("latitude"), F.col("right_longitude").alias("longitude"))
 
 
+def stop_of_cluster(stops: DataFrame, clusters: DataFrame) -> DataFrame:
+    """(stop_id, cluster_id): a stop has the number of its cluster."""
+    return stops.join(clusters, stops["stop_id"] == clusters["cluster_id"]).select("stop_id", "cluster_id")
+
+
 def plan_clusters(students: DataFrame, walk_max_distance: float = 1000, coverage_ratio: float = 0.9,
                   max_k: int | None = None, seed: int = 42) -> tuple[int, DataFrame, DataFrame]:
     """The first cluster count, from the density estimate up, that keeps enough students
@@ -45,7 +50,7 @@ def plan_pickup(students: DataFrame, road_points: DataFrame, *, student_count: i
     rows = materialise(rows)
     _, labelled, clusters = plan_clusters(rows, walk_max_distance, coverage_ratio, seed=seed)
     stops = materialise(site_stops(clusters, road_points))
-    pairs = stops.join(clusters, stops["stop_id"] == clusters["cluster_id"]).select("stop_id", "cluster_id")
+    pairs = stop_of_cluster(stops, clusters)
     return {
         "student_clusters": clusters,
         "bus_stops": stops,

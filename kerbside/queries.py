@@ -376,6 +376,71 @@ def moved_to_stops(spark, d):
         "student_id", F.round("latitude", 9).alias("latitude"), F.round("longitude", 9).alias("longitude"))
 
 
+# --- files -----------------------------------------------------------------------------
+
+def _folder(spark) -> str:
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/files-{uuid.uuid4().hex}"
+
+
+def _points_file(spark, d) -> DataFrame:
+    """Students as points of interest, written and read again."""
+    path = _folder(spark)
+    fx.students(spark, d).select(
+        F.format_string("n%08d", "student_id").alias("osm_id"), F.lit("node").alias("osm_type"), F.lit("Point").alias("geom_type"),
+        F.concat(F.col("name"), F.lit(', "'), F.col("address"), F.lit('"')).alias("name"), "longitude", "latitude",
+    ).write.option("header", True).option("escape", '"').csv(path)
+    return files.read_points(spark, path)
+
+
+@query
+def points_csv(spark, d):
+    return _points_file(spark, d).select("osm_id", "name", "longitude", "latitude")
+
+
+@query
+def seed_students(spark, d):
+    """The first thousand points as students, with names made up from their numbers."""
+    return seeding.seed_students(_points_file(spark, d), 1000, SEED)
+
+
+@query
+def seed_buses(spark, d):
+    """Forty random points as buses."""
+    return seeding.seed_buses(_points_file(spark, d), 40, SEED)
+
+
+@query
+def student_upload(spark, d):
+    """A list of students in place of those in the table."""
+    path = _folder(spark)
+    rows = fx.students(spark, d).select("student_id", "longitude", "latitude", "name", "address")
+    rows.write.option("header", True).option("escape", '"').csv(f"{path}/list")
+    tables = Tables(spark, f"{path}/tables")
+    tables.overwrite("students", rows.limit(5))
+    seeding.replace_students(spark, tables, f"{path}/list")
+    return tables.read("students")
+
+
+@query
+def geojson_roads(spark, d):
+    """Roads as map features in files, and their points read back."""
+    path = _folder(spark)
+    lines = views.road_lines(fx.road_points(spark, d), fx.roads(spark, d))
+    views.line_features(lines).write.text(path)
+    features = files.with_road_ids(files.read_features(spark, path, "lines"))
+    return files.line_points(features).join(files.roads(features), "road_id").select(
+        "road_id", "name", "longitude", "latitude", "order")
+
+
+@query
+def cluster_stop_map(spark, d):
+    """Which stop belongs to which cluster, by number."""
+    clusters = fx.student_clusters(spark, d)
+    stops = pickup.site_stops(clusters, fx.road_points(spark, d))
+    return pickup.stop_of_cluster(stops, clusters)
+
+
 # --- changes ---------------------------------------------------------------------------
 
 def _moves(spark, d) -> DataFrame:

@@ -46,7 +46,9 @@ def read_features(spark: SparkSession, path: str, layout: str = "document") -> D
 
     ``document`` parses each file as one JSON value, so one file is one task. ``lines``
     expects a feature per line, with or without the surrounding collection, and lets a
-    large file be split over many tasks.
+    large file be split over many tasks. ``collection`` splits one collection, however it is
+    broken into lines, at the type of its features, which has to be their first member and no
+    other text of the file.
     """
     if layout == "document":
         whole = spark.read.option("multiLine", True).schema(f"features array<struct<{_FEATURE}>>").json(path)
@@ -60,6 +62,17 @@ def read_features(spark: SparkSession, path: str, layout: str = "document") -> D
         parsed = text.where(F.col("value").rlike('^\\{.*"Feature"')).select(
             F.from_json("value", f"struct<{_FEATURE}>").alias("f"), "file", "block", "line")
         features = parsed.where("f.type = 'Feature'")
+    elif layout == "collection":
+        text = spark.read.option("lineSep", '"Feature"').text(path).select(
+            F.trim(F.regexp_replace("value", "^\\s+", "")).alias("value"), F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+        # what precedes the first feature begins with a brace; what follows a feature is not read
+        rest = text.where(F.substring("value", 1, 1).isin(",", "}"))
+        parsed = rest.select(F.from_json(F.concat(F.lit('{"type": "Feature"'), "value"), f"struct<{_FEATURE}>").alias("f"),
+                             "file", "block", "line")
+        misplaced = F.col("f.properties").isNull() & F.col("f.geometry").isNull()
+        features = parsed.withColumn("f", F.when(misplaced, F.raise_error(F.lit(
+            "a feature that does not begin with its type"))).otherwise(F.col("f")))
     else:
         raise ValueError(f"unknown layout {layout!r}")
     keep = ["file", "position"] if layout == "document" else ["file", "block", "line"]

@@ -127,6 +127,37 @@ def test_relocation_moves_the_first_students_only(spark, tmp_path):
     assert all(r["latitude"] > 0 for r in seeding.relocate(tables, points, None).collect())
 
 
+@pytest.mark.parametrize("indent", [None, 2])
+def test_a_large_collection_is_split_over_tasks(spark, tmp_path, indent):
+    features = [{"type": "Feature", "properties": {"osm_id": str(i), "name": None if i % 9 == 0 else f"Road, {i} }} \n Feature"},
+                 "geometry": {"type": "LineString", "coordinates": [[105 + i / 1000, 21.0], [105.5, 21 + i / 1000]]}} for i in range(500)]
+    features.append({"type": "Feature", "properties": {"osm_id": "900"}, "geometry": {
+        "type": "MultiLineString", "coordinates": [[[1.0, 2.0], [3.0, 4.0]], [[5.0, 6.0]]]}})
+    path = tmp_path / "roads.geojson"
+    path.write_text(json.dumps({"type": "FeatureCollection", "name": "roads", "features": features}, indent=indent))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        read = files.read_features(spark, str(path), "collection")
+        assert read.rdd.getNumPartitions() > 3
+        got = files.with_road_ids(read)
+        whole = files.with_road_ids(files.read_features(spark, str(path)))
+        columns = ["road_id", "name", "kind"]
+        assert sorted(map(str, got.select(*columns).collect())) == sorted(map(str, whole.select(*columns).collect()))
+        points = [sorted(map(tuple, files.line_points(f).collect())) for f in (got, whole)]
+        assert points[0] == points[1] and len(points[0]) == 1003
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_collection_with_the_type_last_is_refused(spark, tmp_path):
+    path = tmp_path / "odd.geojson"
+    feature = {"properties": {"osm_id": "1"}, "geometry": {"type": "Point", "coordinates": [1, 2]}, "type": "Feature"}
+    path.write_text(json.dumps({"type": "FeatureCollection", "features": [feature, feature]}))
+    with pytest.raises(Exception, match="begin with its type"):
+        files.read_features(spark, str(path), "collection").collect()
+
+
 def test_tables_are_replaced_while_read_and_appended(spark, tmp_path):
     tables = Tables(spark, str(tmp_path))
     pairs = spark.createDataFrame([(1, 10), (2, 20)], "student_id long, stop_id long")
