@@ -1,7 +1,7 @@
 """SQL that a single-node engine runs on the same tables, one text per query.
 
-Queries without a text here (the model-fitted clusterings) are checked by invariants in
-the tests.
+Which clusters a fitted model finds is not said in SQL; queries over these return facts that
+hold for every right result.
 """
 
 from __future__ import annotations
@@ -225,6 +225,10 @@ LEFT JOIN groups g ON g.node = s.student_id LEFT JOIN near n ON n.id = s.student
 {_COMPONENTS.format(planar=_planar("a", "b"), eps="(SELECT eps FROM radius)")}
 SELECT count(DISTINCT label) FILTER (WHERE label <> -1) AS n_clusters FROM labels""",
     "kmeans_lloyd": _lloyd(3),
+    "plan_clusters_summary": f"""{with_sql("students")}
+SELECT count(*) AS students, true AS covered, true AS numbered FROM students""",
+    "pickup_plan": f"""{with_sql("students")}
+SELECT count(DISTINCT student_id) AS students, count(*) AS at_nearest_road_point FROM students""",
     "student_assignment_view": f"""{with_sql("students", "assignments")}, {_SOME}
 SELECT s.student_id, a.stop_id, s.name, s.latitude, s.longitude
 FROM students s LEFT JOIN some_assignments a ON s.student_id = a.student_id""",

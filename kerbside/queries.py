@@ -170,16 +170,31 @@ def kmeans_lloyd(spark, d):
 
 @query
 def plan_clusters_summary(spark, d):
-    """The constrained clustering itself: clusters, their points and share within reach."""
+    """The constrained clustering itself: the students it holds, whether every cluster keeps enough of
+    its students within reach, and whether clusters are numbered from 1."""
     _, labelled, clusters = pickup.plan_clusters(fx.students(spark, d), 1000, COVERAGE)
-    return centres.coverage(labelled, clusters, 1000).join(clusters, "cluster_id")
+    return centres.coverage(labelled, clusters, 1000).agg(
+        F.sum("points").alias("students"), (F.min(F.coalesce("share", F.lit(0.0))) >= COVERAGE).alias("covered"),
+        ((F.min("cluster_id") == 1) & (F.max("cluster_id") == F.count("*"))).alias("numbered"))
 
 
 @query
 def pickup_plan(spark, d):
-    """The whole planning job; every student with the stop it results in."""
-    planned = pickup.plan_pickup(fx.students(spark, d), fx.road_points(spark, d))
-    return planned["assignments"].join(planned["bus_stops"], "stop_id")
+    """The whole planning job: students that have a stop, and those whose stop is a road point to which
+    none is nearer from the centre of their cluster."""
+    roads = fx.road_points(spark, d)
+    planned = pickup.plan_pickup(fx.students(spark, d), roads)
+    stops = planned["bus_stops"].join(planned["cluster_bus_stop_map"], "stop_id").join(
+        planned["student_clusters"].select("cluster_id", F.col("latitude").alias("lat"), F.col("longitude").alias("lng")), "cluster_id")
+    reach = geo.haversine(F.col("lat"), F.col("lng"), F.col("latitude"), F.col("longitude"))
+    stops = stops.select("stop_id", "road_id", "latitude", "longitude", "lat", "lng", reach.alias("reach"))
+    places = roads.select("road_id", "latitude", "longitude").distinct()
+    there = stops.join(places, ["road_id", "latitude", "longitude"]).select("stop_id", "lat", "lng", "reach")
+    # a second search, by the coverage of stops, has to come to the same distances
+    again = nearest(there.select("stop_id", F.col("lat").alias("latitude"), F.col("lng").alias("longitude"), "reach"), places, ["road_id"])
+    good = again.where(F.abs(F.col("distance") - F.col("reach")) < 1e-6).select("stop_id", F.lit(1).alias("good"))
+    return planned["assignments"].join(good, "stop_id", "left").agg(
+        F.count_distinct("student_id").alias("students"), F.count("good").alias("at_nearest_road_point"))
 
 
 # --- views -----------------------------------------------------------------------------
