@@ -4,24 +4,25 @@ A line's signature are the minima, in 24 orders, of the hashes of all its charac
 Three minima make a band. The lines of a bucket, which agree on a band, are first compared with
 the first of them by the exact Jaccard similarity of all their character shingles, and the links
 closed by union-find over the cluster. Where a bucket still holds several components, its lines
-are compared across them, in blocks, the likely pairs first and then all that are left, so that
-nothing is left out and no pair is formed within a component. Of every component the first line
-of the documents stays.
+are compared across them, in blocks: a block yields the components that it links, not pairs of
+lines, so that nothing is left out and nothing grows with the square of a bucket but comparisons.
+Of every component the first line of the documents stays.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.operators.components import connected_components
-from kerbside.session import broadcast_if, store
+from kerbside.session import broadcast_if, forget, store
 
 SHINGLE = 10
 BANDS, ROWS = 8, 3
 SIMILARITY = 0.8
-AGREE = (19, 12, 0)  # common minima of 24: the likely pairs first, whose links spare others the comparison; all in the end
 BLOCK = 128       # lines of a bucket that one row gathers, on average
+BLOCK_SHINGLES = 32_768   # and shingles of theirs
+WORDS = 16        # of 64 bits: the bit map of a line's shingles
 
 
 def _lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -44,14 +45,15 @@ def signatures(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """
     lines = docs.select(F.explode(F.split(F.col(text_column).cast("string"), "\n", -1)).alias("line")).where(
         F.length("line") >= SHINGLE)
-    rows = lines.select(F.xxhash64("line").alias("h"), F.explode(_cut("line")).alias("s"))
-    hashed = rows.select("h", F.xxhash64("s").alias("x"))
+    cut = lines.select(F.xxhash64("line").alias("h"), F.encode("line", "UTF-32").alias("code"))
+    rows = cut.select("h", "code", F.explode(F.expr(_STARTS)).alias("k"))
+    hashed = rows.selectExpr("h", f"xxhash64({_SHINGLE}) AS x")
     return hashed.groupBy("h").agg(*[F.min(F.expr(f"x ^ {_constant(k)}L")).alias(f"m{k}") for k in range(BANDS * ROWS)])
 
 
-def _cut(line: str) -> Column:
-    """The shingles of a line, one for each position."""
-    return F.expr(f"regexp_extract_all({line}, '(?s)(?=(.{{{SHINGLE}}}))', 1)")
+# A character of a line's ``code`` is four bytes, so that a shingle is found without a walk to it.
+_STARTS = f"sequence(1, octet_length(code) - {4 * SHINGLE - 1}, 4)"
+_SHINGLE = f"substring(code, k, {4 * SHINGLE})"
 
 
 def _constant(k: int) -> int:
@@ -73,36 +75,59 @@ def buckets(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pairs.unionByName(two).distinct(), members.select("h", "band", "n")
 
 
-def across(members: DataFrame, signed: DataFrame, components: DataFrame, sizes: DataFrame,
-           least: int = 0, similarity: float = SIMILARITY) -> DataFrame:
-    """(u, v, agree): the pairs of a bucket in different components with their common minima, ``least`` or more.
+def across(members: DataFrame, texts: DataFrame, components: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(u, v): components that similar lines of a bucket link.
 
-    Lines of a bucket are gathered in blocks by a hash, and each two blocks compared as arrays.
-    Pairs whose numbers of shingles, the ``n`` of ``sizes``, forbid the similarity are left out.
+    Lines of a bucket with several components are gathered in blocks by a hash, and each two
+    blocks compared as arrays; ``texts`` has the lines of ``members`` and their numbers of
+    shingles, which are cut anew for each block, as their hashes are much longer than a line. A bit that one line's map has and the other's has
+    not stands for a shingle at least that they do not share: with too many of these, which is the
+    rule, the pair needs no exact comparison.
     """
-    named = members.join(components.withColumnRenamed("node", "h"), "h", "left").withColumn(
-        "c", F.coalesce("component", "h"))
-    mixed = store(named.groupBy("band").agg(F.min("c").alias("a"), F.max("c").alias("b")).where("a < b").select("band"))
-    minima = F.array(*[f"m{k}" for k in range(BANDS * ROWS)])
-    open_lines = named.join(broadcast_if(mixed, mixed.count()), "band").withColumn("parts", F.ceil(F.col("n") / BLOCK))
-    sized = signed.select("h", minima.alias("m")).join(sizes.select("h", F.col("n").alias("size")), "h")
-    blocks = store(open_lines.join(sized, "h").groupBy(
+    named = members.drop("n").join(components.withColumnRenamed("node", "h"), "h", "left").withColumn(
+        "c", F.coalesce("component", "h")).join(texts.select("h", "n"), "h")
+    mixed = store(named.groupBy("band").agg(
+        F.min("c").alias("a"), F.max("c").alias("b"), F.greatest(
+            F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("parts")).where("a < b").select("band", "parts"))
+    open_lines = named.join(broadcast_if(mixed, mixed.count()), "band").select("band", "parts", "h", "c", "n")
+    several = texts.join(open_lines.select("h").distinct(), "h", "left_semi")
+    blocks = store(open_lines.join(several.select("h", "line").join(bit_maps(several), "h"), "h").groupBy(
         "band", "parts", F.pmod(F.xxhash64("h"), "parts").alias("part")).agg(
-        F.collect_list(F.struct("h", "c", "m", "size")).alias("rows")))
+        F.collect_list(F.struct("c", "n", "w", "line")).alias("rows")))
     one = blocks.where("part < parts - 1").select(
         "band", F.col("rows").alias("others"), F.explode(F.expr("sequence(part + 1, parts - 1)")).alias("part"))
-    met = blocks.select("rows", F.col("rows").alias("others")).unionByName(
-        one.join(blocks, ["band", "part"]).select("rows", "others"))
-    found = met.select(F.explode(F.expr(
-        "flatten(transform(rows, a -> filter(transform(filter(others, b -> a.c <> b.c"
-        f" AND least(a.size, b.size) >= {similarity}D * greatest(a.size, b.size) - 1e-9D), b -> struct("
-        "least(a.h, b.h) AS u, greatest(a.h, b.h) AS v, size(array_intersect(a.m, b.m)) AS agree)),"
-        f" p -> p.agree >= {least})))")).alias("pair"))
-    return found.select("pair.*").distinct()
-
-
-def _shingles(line: str) -> Column:
-    return F.transform(_cut(line), lambda x: F.xxhash64(x))
+    met = one.join(blocks, ["band", "part"]).select("rows", "others")
+    # a generator, so that the shingles of a line are cut once and not for each pair
+    def hashed(rows: str) -> str:
+        return f"transform({rows}, r -> struct(r.c AS c, r.n AS n, r.w AS w, array_distinct({_shingles('r.line')}) AS s))"
+
+    met = met.select(F.expr(f"inline(array(struct({hashed('rows')} AS rows, {hashed('others')} AS others, false AS same)))"))
+    own = blocks.select(F.expr(f"inline(array(struct({hashed('rows')} AS rows)))")).selectExpr("rows", "rows AS others", "true AS same")
+    met = met.unionByName(own)
+    found = met.select(F.explode(F.expr(f"""array_distinct(flatten(transform(rows, a -> transform(filter(others, b ->
+        (a.c < b.c OR NOT same AND a.c > b.c) AND least(a.n, b.n) >= {similarity}D * greatest(a.n, b.n) - 1e-9D
+        AND (a.n - aggregate(zip_with(a.w, b.w, (x, y) -> bit_count(x & ~y)), 0, (t, k) -> t + k)) * {1 + similarity}D
+            >= {similarity}D * (a.n + b.n) - 1e-9D
+        AND size(array_intersect(a.s, b.s)) * {1 + similarity}D >= {similarity}D * (a.n + b.n) - 1e-9D),
+        b -> struct(least(a.c, b.c) AS u, greatest(a.c, b.c) AS v)))))""")).alias("pair"))
+    linked_pairs = store(found.select("pair.*").distinct())
+    forget(mixed, blocks)
+    return linked_pairs
+
+
+def bit_maps(texts: DataFrame) -> DataFrame:
+    """(h, w): for each line the map of its shingles, a bit for each by its hash."""
+    rows = texts.select("h", F.encode("line", "UTF-32").alias("code")).select("h", "code", F.explode(F.expr(_STARTS)).alias("k"))
+    bits = rows.selectExpr("h", f"xxhash64({_SHINGLE}) AS x").selectExpr(
+        "h", f"x & {WORDS - 1} AS word", f"shiftleft(1L, cast(shiftright(x, {WORDS.bit_length()}) & 63 AS int)) AS bit")
+    return bits.groupBy("h").agg(F.array(*[
+        F.expr(f"bit_or(if(word = {i}, bit, 0L))") for i in range(WORDS)]).alias("w"))
+
+
+def _shingles(line: str) -> str:
+    """SQL for the hashes of a line's shingles; none for a line that is shorter than one."""
+    return (f"flatten(transform(array(encode({line}, 'UTF-32')), code -> CASE WHEN octet_length(code) < {4 * SHINGLE}"
+            f" THEN array() ELSE transform({_STARTS}, k -> xxhash64({_SHINGLE})) END))")
 
 
 def line_texts(docs: DataFrame, pairs: DataFrame, text_column: str = "text") -> DataFrame:
@@ -111,13 +136,13 @@ def line_texts(docs: DataFrame, pairs: DataFrame, text_column: str = "text") ->
     lines = docs.select(F.explode(F.split(F.col(text_column).cast("string"), "\n", -1)).alias("line")).withColumn(
         "h", F.xxhash64("line"))
     found = lines.join(broadcast_if(needed, needed.count()), "h").groupBy("h").agg(F.first("line").alias("line"))
-    return found.withColumn("n", F.size(F.array_distinct(_shingles("line"))))
+    return found.withColumn("n", F.expr(f"size(array_distinct({_shingles('line')}))"))
 
 
 def similar(texts: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The pairs whose lines are similar enough; those whose sizes forbid it are not compared."""
     one, other = texts.selectExpr("h AS u", "line AS a", "n AS na"), texts.selectExpr("h AS v", "line AS b", "n AS nb")
-    both = F.size(F.array_intersect(_shingles("a"), _shingles("b")))
+    both = F.expr(f"size(array_intersect({_shingles('a')}, {_shingles('b')}))")
     fits = F.least("na", "nb") >= similarity * F.greatest("na", "nb") - 1e-9
     alike = F.when(fits, both * (1 + similarity) >= similarity * (F.col("na") + F.col("nb")) - 1e-9)
     return pairs.select("u", "v").join(one, "u").join(other, "v").where(alike).select("u", "v")
@@ -131,15 +156,9 @@ def linked(docs: DataFrame, similarity: float = SIMILARITY, text_column: str = "
     # the lines of the first pairs are all lines that share a bucket
     texts = store(line_texts(docs, pairs, text_column))
     components = connected_components(similar(texts, pairs, similarity))
-    for agree in AGREE:   # what the likely pairs link need not be compared again
-        if agree != AGREE[1]:   # the first two steps share a table
-            rest = store(across(members, signed, components, texts, min(agree, AGREE[1]), similarity))
-        one, other = (components.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in ("u", "v"))
-        apart = rest.where(F.col("agree") >= agree).join(one, "u", "left").join(other, "v", "left").where(
-            "coalesce(cu, u) <> coalesce(cv, v)")
-        more = store(similar(texts, store(apart.select("u", "v")), similarity))
-        if not more.isEmpty():
-            components = connected_components(components.selectExpr("node AS u", "component AS v").unionByName(more))
+    more = across(members, texts, components, similarity)
+    if not more.isEmpty():
+        components = connected_components(components.selectExpr("node AS u", "component AS v").unionByName(more))
     return components
 
 
