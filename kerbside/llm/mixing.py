@@ -22,6 +22,7 @@ BLOCK = 128       # words of a block
 SHARD = 4096      # slots of an output shard
 CAP = 3           # a source is used up to so many times
 ROUNDS = 16       # of the permutation
+STRETCHES = 4096  # pieces, at least, that the tickets of all quotas are cut into to find a source
 SEED = 42
 
 
@@ -76,11 +77,17 @@ def slots(sources: DataFrame, block: int = BLOCK, shard: int = SHARD, seed: int
     quotas = store(running_sums(quotas.withColumn("__all", F.lit(0)), "__all", "quota", ["sid"], "begin"))
     total = quotas.agg(F.sum("quota")).first()[0] or 0
     spark = sources.sparkSession
-    # a ticket for each slot of a quota; a slot draws one with replacement
-    tickets = quotas.select("sid", F.explode(F.expr("sequence(begin, begin + quota - 1)")).alias("ticket"))
+    # a ticket for each slot of a quota; a slot draws one with replacement, and finds the source
+    # whose quota it lies in among those of its stretch of tickets
+    count = quotas.count()
+    width = max(1, -(-total // max(STRETCHES, 4 * count)))
+    ranges = quotas.select("sid", "begin", "quota", F.explode(F.expr(
+        f"sequence(begin div {width}, (begin + quota - 1) div {width})")).alias("stretch"))
     drawn = spark.range(total).select(
         F.expr(f"id div {shard}").alias("shard"), F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(max(total, 1))).alias("ticket"))
-    counts = store(drawn.join(tickets, "ticket").groupBy("shard", "sid").agg(F.count("*").alias("n")))
+    drawn = drawn.withColumn("stretch", F.expr(f"ticket div {width}"))
+    found = drawn.join(broadcast_if(ranges, STRETCHES + 6 * count), "stretch").where("ticket >= begin AND ticket < begin + quota")
+    counts = store(found.groupBy("shard", "sid").agg(F.count("*").alias("n")))
     numbered = running_sums(counts, "sid", "n", ["shard"], "first").join(quotas.select("sid", "quota"), "sid")
     kept = store(numbered.withColumn("n", F.expr("greatest(0, least(n, quota - first))")).where("n > 0").select(
         "shard", "sid", "first", "n"))
