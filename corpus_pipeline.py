@@ -5,14 +5,12 @@ Each stage takes all its predecessor kept, is written as Parquet and read again
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.llm import mixing, packing, quality, simhash
 from kerbside.llm import lines as line_dedup
-from kerbside.session import ensure_checkpoint_dir
+from kerbside.session import forget, store
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,13 +49,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ensure_checkpoint_dir(spark)
-    folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for number, (_, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        if number == len(STAGES) - 1:
-            return out
-        out.write.parquet(f"{folder}/{number}")
-        docs = spark.read.parquet(f"{folder}/{number}")
-    return docs
+    """The stages over the documents; what a stage wrote is deleted once the next one is written.
+
+    Null ids and texts and repeated rows go through the stages as each of them says; an empty
+    table gives an empty one. Columns whose names begin with two underscores are reserved.
+    """
+    docs, stored = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for _, stage in STAGES[:-1]:
+        before, stored = stored, store(stage(spark, docs, sf_dir))
+        if before is not None:
+            forget(before)
+        docs = stored
+    return STAGES[-1][1](spark, docs, sf_dir)
