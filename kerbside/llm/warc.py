@@ -43,7 +43,7 @@ def responses(pages: DataFrame, date: str = "1970-01-01T00:00:00Z", id_column: s
 def _text(series):
     import pandas as pd
 
-    return pd.Series(["\n".join(text for text, _, _ in blocks(page)) for page in series], dtype=object)
+    return pd.Series(["\n".join(text for text, *_ in blocks(page)) for page in series], dtype=object)
 
 
 def derivatives(records: DataFrame) -> DataFrame:
@@ -53,33 +53,40 @@ def derivatives(records: DataFrame) -> DataFrame:
 
     Expects record_id, target_uri, date and block, an HTTP message; what has no empty line is
     all body. Null blocks count as empty. Headers keep their order and case. Records that
-    repeat an identifier give records that do. An empty table gives an empty one.
+    repeat an identifier give records that do, as do two captures of one page without a date in
+    their identifier. Columns of ``records`` named like one that is added give way to it. An empty
+    table gives an empty one.
     """
-    block = F.coalesce(F.col("block").cast("string"), F.lit(""))
-    at = F.instr(block, CRLF * 2)
-    parsed = records.withColumns({"__block": block, "__at": at}).withColumns({
-        "__head": F.when(F.col("__at") > 0, F.expr("left(__block, __at - 1)")).otherwise(""),
-        "__body": F.when(F.col("__at") > 0, F.expr("substring(__block, __at + 4)")).otherwise(F.col("__block"))})
+    added = ("warc_type", "record_id", "refers_to", "source_digest", "payload_digest", "block_digest",
+             "content_type", "content_length", "block")
+    kept = [c for c in records.columns if c not in added]
+    # the columns of the records travel in one, so that no name meets those of the steps
+    given = records.select(
+        F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)]).alias("row"),
+        F.col("record_id"), F.coalesce(F.col("block").cast("string"), F.lit("")).alias("whole"))
+    at = F.instr("whole", CRLF * 2)
+    parsed = given.withColumn("at", at).withColumns({
+        "head": F.when(F.col("at") > 0, F.expr("left(whole, at - 1)")).otherwise(""),
+        "body": F.when(F.col("at") > 0, F.expr("substring(whole, at + 4)")).otherwise(F.col("whole"))})
     to_text = F.pandas_udf(_text, "string", F.PandasUDFType.SCALAR)
-    parsed = small_batches(parsed).withColumn("__text", to_text("__body"))
-    head = F.split(F.col("__head"), CRLF, -1)
+    parsed = small_batches(parsed).withColumn("text", to_text("body"))
+    digested = parsed.withColumns({"source_digest": _digest(F.col("whole")), "payload_digest": _digest(F.col("body"))})
+    head = F.split(F.col("head"), CRLF, -1)
     fields = F.concat_ws(
         CRLF, F.concat(F.lit("http-status-line: "), F.element_at(head, 1)),
         F.array_join(F.transform(F.slice(head, 2, F.greatest(F.size(head) - 1, F.lit(0))),
                                  lambda h: F.concat(F.lit("http-header: "), h)), CRLF),
-        F.concat(F.lit("payload-digest: "), F.col("__payload")),
-        F.concat(F.lit("payload-length: "), F.octet_length("__body").cast("string")), F.lit(""))
-    digested = parsed.withColumns({"__source": _digest(F.col("__block")), "__payload": _digest(F.col("__body"))})
+        F.concat(F.lit("payload-digest: "), F.col("payload_digest")),
+        F.concat(F.lit("payload-length: "), F.octet_length("body").cast("string")), F.lit(""))
     made = F.array(
         F.struct(F.lit("metadata").alias("warc_type"), F.lit("application/warc-fields").alias("content_type"),
                  fields.alias("block")),
         F.struct(F.lit("conversion").alias("warc_type"), F.lit("text/plain; charset=utf-8").alias("content_type"),
-                 F.col("__text").alias("block")))
-    source = [F.col(f"`{c}`") for c in records.columns if c not in ("record_id", "block")]
-    rows = digested.select(*source, F.col("record_id").alias("refers_to"), F.col("__source").alias("source_digest"),
-                           F.col("__payload").alias("payload_digest"), F.explode(made).alias("m"))
+                 F.col("text").alias("block")))
+    rows = digested.select("row", F.col("record_id").alias("refers_to"), "source_digest", "payload_digest",
+                           F.explode(made).alias("m"))
     return rows.select(
-        *source, F.col("m.warc_type").alias("warc_type"),
+        *[F.col(f"row.c{i}").alias(c) for i, c in enumerate(kept)], F.col("m.warc_type").alias("warc_type"),
         _uuid(F.col("m.warc_type"), F.coalesce("refers_to", F.lit(""))).alias("record_id"), "refers_to",
         "source_digest", "payload_digest", _digest(F.col("m.block")).alias("block_digest"),
         F.col("m.content_type").alias("content_type"),

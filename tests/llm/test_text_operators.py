@@ -475,3 +475,14 @@ def test_html_wrapped_as_a_whole(wrapper):
     menu = "<ul>" + "".join(f"<li><a href=/{i}>Item {i}</a>" for i in range(9)) + "</ul>"
     page = f"<body>{wrapper}{menu}<p>{LONG}</p><p>{LONG}</p><div class='comments'><p>{LONG}</p></div></body>"
     assert html.main_text(page, html.grow()) == f"{LONG} {LONG}"
+
+
+def test_warc_records_with_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "http://x/", "<p>One."), (2, None, None)], "page_id long, url string, html string")
+    source = warc.responses(df)
+    plain = warc.derivatives(source)
+    names = ["m", "refers_to", "warc_type", "content_type", "__text", "__head", "row", "text", "whole", "none"]
+    odd = warc.derivatives(source.withColumns({n: F.lit(n) for n in names}))
+    assert len(set(odd.columns)) == len(odd.columns) and set(odd.columns) == set(plain.columns) | set(names)
+    assert Counter(map(str, odd.select(plain.columns).collect())) == Counter(map(str, plain.collect()))
+    assert {r["m"] + r["__text"] + r["row"] for r in odd.collect()} == {"m__textrow"}
