@@ -178,6 +178,20 @@ def test_token_counts_equal_the_tokenizer(docs):
     assert Counter(tuple(r) for r in tokens.token_counts(docs, pieces).collect()) == want
 
 
+def test_token_counts_of_equal_scores(spark):
+    """Scores that add up exactly, so that many splits of a word are equally good."""
+    pieces = [("<unk>", -10.0), ("▁", -1.0), ("a", -1.0), ("b", -1.0), ("c", -1.0), ("ab", -2.0), ("bc", -2.0), ("ca", -1.5),
+              ("abc", -3.0), ("bca", -2.5), ("▁a", -2.0), ("▁ab", -3.0), ("cab", -2.5), ("aa", -2.0), ("abca", -3.5)]
+    exact = Tokenizer(models.Unigram(pieces, unk_id=0, byte_fallback=False))
+    exact.pre_tokenizer = pre_tokenizers.Metaspace(prepend_scheme="always")
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abc"), rng.integers(1, 12))) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string")
+    got = {r["doc_id"]: r["n_tokens"] for r in tokens.token_counts(df, pieces).collect()}
+    want = {i: len(exact.encode(w, add_special_tokens=False).ids) for i, w in enumerate(words)}
+    assert got == want
+
+
 def test_quality_counts_and_base_rules(docs):
     rows = quality.assess(docs).collect()
     want = Counter()
