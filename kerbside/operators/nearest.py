@@ -403,6 +403,9 @@ def _few(left: DataFrame, rows: int, left_bounds: Bounds, right: DataFrame, ids:
         right = _positioned(right).select("latitude", "longitude", *ids)
         right_bounds = _bounds(right, metric)
         right_rows = right_bounds[0]
+        if right_rows <= ROOT_POINTS:
+            few_points = PointIndex(_with_radians(right), ids, right_rows, Grid(metric, [], 1.0, 0))
+            return search(left, few_points, names=names, other_than_self=other_than_self).drop("__row")
         grid = _grid(metric, [left_bounds, right_bounds]) if right_rows and left_bounds[0] else Grid(
             metric, [0.0] * (3 if spherical else 2), 1.0, 1)
         rights = right.select("*", *grid.places(F.col("latitude"), F.col("longitude")))

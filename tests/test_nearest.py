@@ -71,7 +71,7 @@ def test_date_line_and_poles(spark, ways):
     same(found(got), plain.nearest(left, right), 1e-6)
 
 
-@pytest.mark.parametrize("root, few", [(0, -1), (32, -1), (0, 100)])
+@pytest.mark.parametrize("root, few", [(0, -1), (32, -1), (0, 100), (32, 100)])
 def test_ties_go_to_the_lowest_ids(spark, monkeypatch, root, few):
     monkeypatch.setattr(N, "ROOT_POINTS", root)
     monkeypatch.setattr(N, "FEW_ROWS", few)
@@ -82,7 +82,7 @@ def test_ties_go_to_the_lowest_ids(spark, monkeypatch, root, few):
     assert (row["b"], row["c"]) == (7, 1)
 
 
-@pytest.mark.parametrize("root, few", [(0, -1), (32, -1), (0, 100)])
+@pytest.mark.parametrize("root, few", [(0, -1), (32, -1), (0, 100), (32, 100)])
 def test_missing_coordinates_and_empty_sides(spark, monkeypatch, root, few):
     monkeypatch.setattr(N, "ROOT_POINTS", root)
     monkeypatch.setattr(N, "FEW_ROWS", few)
