@@ -31,7 +31,7 @@ from pyspark.sql.window import Window
 from kerbside.functions import geo
 from kerbside.operators.nearest import build_index, search
 from kerbside.operators.ordering import running_total, zip_with_index
-from kerbside.session import materialise
+from kerbside.session import store
 
 CHAIN = 4096   # buses and places that a depot goes through in one round
 _BUS = ["bus_id", "latitude", "longitude", "capacity"]
@@ -138,8 +138,8 @@ def match_buses(stops: DataFrame, buses: DataFrame, assignments: DataFrame) -> D
     A stop may get several buses; demand that is left when buses run out stays unserved.
     """
     demand = stop_demand(assignments).withColumnRenamed("num_students", "demand")
-    places = materialise(places_of(stops.select("stop_id", "latitude", "longitude").join(demand, "stop_id")))
-    fleet = materialise(buses.where("latitude IS NOT NULL AND longitude IS NOT NULL").select(
+    places = store(places_of(stops.select("stop_id", "latitude", "longitude").join(demand, "stop_id")))
+    fleet = store(buses.where("latitude IS NOT NULL AND longitude IS NOT NULL").select(
         "bus_id", "latitude", "longitude", F.col("capacity").cast("long").alias("capacity")))
     largest = fleet.agg(F.max("capacity")).first()[0] or 0
     # places of one position differ in what they still accept, so they are not merged
@@ -152,21 +152,21 @@ def match_buses(stops: DataFrame, buses: DataFrame, assignments: DataFrame) -> D
 
     def proposals(free: DataFrame, kept: DataFrame, limits: DataFrame) -> DataFrame:
         position = ["latitude", "longitude"]
-        sizes = materialise(free.groupBy(*position).agg(F.count("*").alias("n")).where("n > 1"))
+        sizes = store(free.groupBy(*position).agg(F.count("*").alias("n")).where("n > 1"))
         if sizes.isEmpty():
             found = search(free, index, reach=limits, accepts=accepts, stored=True)
-            return materialise(found.select(*_BUS, "place", "distance"))
+            return store(found.select(*_BUS, "place", "distance"))
         alone = free.join(sizes, position, "left_anti").select(*_BUS)
         one = search(alone, index, reach=limits, accepts=accepts).select(*_BUS, "place", "distance")
         nth = F.row_number().over(Window.partitionBy(*position).orderBy("bus_id"))
         first = free.join(sizes, position).withColumn("nth", nth).where(F.col("nth") <= CHAIN)
-        depots = materialise(first.groupBy(*position).agg(
+        depots = store(first.groupBy(*position).agg(
             F.min("bus_id").alias("depot"), F.array_sort(F.collect_list(F.struct("bus_id", "capacity"))).alias("buses")))
         asked = depots.select("depot", F.col("depot").alias("bus_id"), *position, F.size("buses").alias("k"))
-        found = materialise(search(asked, index, reach=limits, accepts=accepts, wanted="k").select("depot", "found"))
-        return materialise(one.unionByName(_depot_proposals(depots, found, places, kept)))
+        found = store(search(asked, index, reach=limits, accepts=accepts, wanted="k").select("depot", "found"))
+        return store(one.unionByName(_depot_proposals(depots, found, places, kept)))
 
-    kept = materialise(fleet.where(F.lit(False)).select(
+    kept = store(fleet.where(F.lit(False)).select(
         *_BUS, F.lit(0).cast("bigint").alias("place"), F.lit(0.0).alias("distance"),
         F.lit(0).cast("bigint").alias("stop_id"), F.lit(0).cast("bigint").alias("num_students"), F.lit(False).alias("closes")))
     free = fleet
@@ -175,7 +175,7 @@ def match_buses(stops: DataFrame, buses: DataFrame, assignments: DataFrame) -> D
         met = kept.where("closes").select("place", F.col("distance").alias("limit"), F.col("bus_id").alias("limit_bus"))
         # a little wider than the limit itself, which is tested exactly in the end
         straight = geo.chord(F.col("limit")) * (1 + 1e-9) + 1e-12
-        limits = materialise(places.select("place").join(met, "place", "left").select(
+        limits = store(places.select("place").join(met, "place", "left").select(
             "place", F.coalesce(straight * straight, F.lit(math.inf)).alias("reach2"),
             F.coalesce("limit", F.lit(math.inf)).alias("limit"),
             F.coalesce("limit_bus", F.lit(0).cast("long")).alias("limit_bus")))
@@ -184,13 +184,13 @@ def match_buses(stops: DataFrame, buses: DataFrame, assignments: DataFrame) -> D
             break
         changed = new.select("place").distinct()
         pool = kept.join(changed, "place", "left_semi").select(*_BUS, "place", "distance").unionByName(new)
-        ranked = materialise(_ranked(pool, places, largest))
-        kept = materialise(kept.join(changed, "place", "left_anti").unionByName(ranked.where("stop_id IS NOT NULL")))
+        ranked = store(_ranked(pool, places, largest))
+        kept = store(kept.join(changed, "place", "left_anti").unionByName(ranked.where("stop_id IS NOT NULL")))
         # what was turned away goes on, as do buses of a depot that had no turn yet; others that
         # no place would have now are not wanted later either
         waiting = free.join(new.select("bus_id"), "bus_id", "left_anti").join(
             new.select("latitude", "longitude").distinct(), ["latitude", "longitude"], "left_semi")
-        free = materialise(ranked.where("stop_id IS NULL").select(*_BUS).unionByName(waiting.select(*_BUS)))
+        free = store(ranked.where("stop_id IS NULL").select(*_BUS).unionByName(waiting.select(*_BUS)))
         if free.isEmpty():
             break
     return kept.select("bus_id", "stop_id", "distance", "num_students")
