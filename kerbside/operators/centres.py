@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from kerbside.functions import geo
-from kerbside.operators.nearest import build_index, search
-from kerbside.session import broadcast_if, materialise, store
+from kerbside.operators.nearest import build_index, nearest, search
+from kerbside.operators.ordering import zip_with_index
+from kerbside.session import broadcast_if, forget, materialise, store
 
+MANY_CENTRES = 5000     # counts above it are fitted by joins: no task holds all centres
 MAX_ITER = 300          # fixed value: iterations of one fit
 GRIDS = (1, 2, 4, 8)    # cells per disc width of the grids that bound the cluster count
 TOLERANCE = 1e-4        # fixed value: movement of centres that ends a fit, by the variance
@@ -65,6 +67,7 @@ def fit(features: DataFrame, k: int, seed: int = 42, tolerance: float | None = N
     1 to k, centres). Needs k different positions at least.
 
     Rounds end when centres move less than ``TOLERANCE`` of the spread of the coordinates.
+    More than ``MANY_CENTRES`` are fitted by joins.
     """
     if k == 1:   # the mean of all points, which the model declines to fit
         centre = features.agg(F.avg("latitude").alias("latitude"), F.avg("longitude").alias("longitude"))
@@ -72,6 +75,9 @@ def fit(features: DataFrame, k: int, seed: int = 42, tolerance: float | None = N
         return features.select("*", one), materialise(centre.select(one, "latitude", "longitude"))
     if tolerance is None:
         tolerance = scaled_tolerance(features)
+    if k > MANY_CENTRES:
+        labelled, centres = _fit_many(features.drop("features"), k, seed, tolerance)
+        return with_features(labelled), centres
     model = KMeans(k=k, seed=seed, maxIter=MAX_ITER, tol=tolerance, featuresCol="features",
                    predictionCol="__label").fit(features)
     if len(model.clusterCenters()) < k:
@@ -83,6 +89,67 @@ def fit(features: DataFrame, k: int, seed: int = 42, tolerance: float | None = N
     return labelled.drop("__label"), centres
 
 
+def _first_centres(points: DataFrame, k: int, seed: int) -> DataFrame:
+    """k different positions (cluster_id from 1 to k, latitude, longitude) to start from.
+
+    Half of them are random rows, the others are drawn by the squared distance to these, which
+    is a round of k-means|| that draws without replacement.
+    """
+    position = ["latitude", "longitude"]
+    places = store(points.groupBy(*position).agg(F.count("*").alias("copies")))
+    u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), *position), 11) + 0.5) / 2.0 ** 53
+    # the lowest of exponential times with rates as the weights are a weighted draw
+    drawn = F.log(-F.log(u))
+    half = k // 2
+    some = zip_with_index(places.select(*position, (drawn - F.log("copies")).alias("__drawn")),
+                          "__drawn", *position, name="cluster_id").where(F.col("cluster_id") <= half)
+    some = materialise(some.select("cluster_id", *position))
+    far = nearest(places, some, ["cluster_id"], metric="planar").where("distance > 0").select(
+        *position, (drawn - F.log("copies") - 2 * F.log("distance")).alias("__drawn"))
+    others = zip_with_index(far, "__drawn", *position, name="cluster_id", start=half + 1).where(F.col("cluster_id") <= k)
+    first = materialise(some.unionByName(others.select("cluster_id", *position)))
+    forget(places)
+    if first.count() < k:
+        raise ValueError(f"fewer than {k} different positions")
+    return first
+
+
+def _filled(centres: DataFrame, labelled: DataFrame, empty: DataFrame) -> DataFrame:
+    """Centres without points put on the positions that lie farthest from their own centre, one each."""
+    position = ["latitude", "longitude"]
+    places = labelled.where("distance > 0").groupBy(*position).agg(F.max("distance").alias("distance"))
+    far = zip_with_index(places.withColumn("__near", -F.col("distance")), "__near", *position, name="__n")
+    put = zip_with_index(empty, "cluster_id", name="__n").select("cluster_id", "__n").join(
+        far.select("__n", F.col("latitude").alias("lat"), F.col("longitude").alias("lng")), "__n").drop("__n")
+    return centres.join(put, "cluster_id", "left").select(
+        "cluster_id", F.coalesce("lat", "latitude").alias("latitude"), F.coalesce("lng", "longitude").alias("longitude"))
+
+
+def _fit_many(points: DataFrame, k: int, seed: int, tolerance: float) -> tuple[DataFrame, DataFrame]:
+    """Like :func:`fit` for many centres, which neither the driver nor a task holds together:
+    assignments are nearest joins. Centres that lose their points are moved to far ones."""
+    columns = points.columns
+    points = store(points)
+    centres, settled, labelled = _first_centres(points, k, seed), False, None
+    for done in range(MAX_ITER + 1):
+        if labelled is not None:
+            forget(labelled)
+        labelled = store(nearest(points, centres, ["cluster_id"], metric="planar").select(*columns, "cluster_id", "distance"))
+        means = labelled.groupBy("cluster_id").agg(F.avg("latitude").alias("lat"), F.avg("longitude").alias("lng"))
+        moved = materialise(centres.join(means, "cluster_id", "left").select(
+            "cluster_id", F.coalesce("lat", "latitude").alias("latitude"), F.coalesce("lng", "longitude").alias("longitude"),
+            geo.planar(F.col("lat"), F.col("lng"), F.col("latitude"), F.col("longitude")).alias("shift")))
+        farthest, held = moved.agg(F.max("shift"), F.count("shift")).first()
+        if (settled and held == k) or done == MAX_ITER:
+            break
+        # once settled, only centres without points still move
+        settled = settled or farthest <= tolerance
+        centres = moved.drop("shift")
+        if held < k:
+            centres = materialise(_filled(centres, labelled, moved.where("shift IS NULL").select("cluster_id")))
+    return labelled.drop("distance"), centres
+
+
 def coverage(labelled: DataFrame, centres: DataFrame, max_distance: float) -> DataFrame:
     """Per centre: its points and the share of them within ``max_distance`` metres.
 

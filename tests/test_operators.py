@@ -278,6 +278,32 @@ def test_fit_numbers_its_clusters_and_repeats(spark):
         centres.fit(centres.with_features(df.limit(3)), 5)
 
 
+def test_many_centres_are_fitted_by_joins(spark, monkeypatch):
+    monkeypatch.setattr(centres, "MANY_CENTRES", 10)
+    monkeypatch.setattr(centres, "KMeans", None)   # holds all centres on the driver and in each task
+    rng = random.Random(12)
+    rows = [(i, rng.randrange(40) / 40, rng.randrange(40) / 40) for i in range(300)]
+    df = spark.createDataFrame(rows, f"student_id long, {POINT}")
+    labelled, found = centres.fit(centres.with_features(df), 60)
+    at = {r["cluster_id"]: (r["latitude"], r["longitude"]) for r in found.collect()}
+    got = {r["student_id"]: r["cluster_id"] for r in labelled.collect()}
+    assert sorted(at) == list(range(1, 61)) and set(got.values()) == set(at) and len(got) == 300
+    for i, lat, lng in rows:
+        assert plain.planar(lat, lng, *at[got[i]]) <= min(plain.planar(lat, lng, *c) for c in at.values()) + 1e-12
+    again = centres.fit(centres.with_features(df), 60)[0]
+    assert {r["student_id"]: r["cluster_id"] for r in again.collect()} == got
+    with pytest.raises(ValueError):
+        centres.fit(centres.with_features(df.limit(11)), 12)
+
+
+def test_centres_without_points_move_to_far_positions(spark):
+    own = f"cluster_id long, {POINT}"
+    labelled = spark.createDataFrame([(1, 0.0, 0.0, 0.0), (1, 0.0, 3.0, 3.0), (1, 0.0, 2.0, 2.0), (1, 0.0, 3.0, 3.0)], f"{own}, distance double")
+    found = centres._filled(spark.createDataFrame([(1, 0.0, 0.0), (2, 9.0, 9.0), (3, 8.0, 8.0)], own), labelled,
+                            spark.createDataFrame([(2,), (3,)], "cluster_id long"))
+    assert sorted(map(tuple, found.collect())) == [(1, 0.0, 0.0), (2, 0.0, 3.0), (3, 0.0, 2.0)]
+
+
 # --- matching --------------------------------------------------------------------------
 
 def check_matching(spark, stops, buses, demand):
