@@ -185,7 +185,8 @@ def _within(few: DataFrame, others: DataFrame, eps: float, values: list[str]) ->
     asked = few.select("id", F.col("latitude").alias("lat"), F.col("longitude").alias("lng"), "cy", "cx",
                        _near_cells(half=False).alias("o"))
     asked = asked.select("id", "lat", "lng", F.expr("cy + o.y AS cy"), F.expr("cx + o.x AS cx"))
-    met = asked.join(others, ["cy", "cx"])
+    # asked is 25 times the few rows, by whose size it would be broadcast
+    met = asked.join(others.hint("merge"), ["cy", "cx"])
     return met.where(geo.planar(F.col("lat"), F.col("lng"), F.col("latitude"), F.col("longitude")) <= eps).select(
         asked["id"], *values)
 

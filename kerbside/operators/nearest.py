@@ -29,7 +29,7 @@ from pyspark.sql.window import Window
 
 from kerbside.functions import geo
 from kerbside.operators.skew import join_unique
-from kerbside.session import broadcast_if, materialise, spread, store
+from kerbside.session import broadcast_if, broadcast_or_merge, materialise, spread, store
 
 LEAF = 8             # right points that a cell of a finished search may hold
 CANDIDATES = 500_000  # candidates of all cells together, some 40 MB, that may be broadcast
@@ -459,12 +459,14 @@ def _around(left: DataFrame, total: int, index: PointIndex, names: list[str], ot
         for offset in range(3 ** grid.axes)) + ")"))
     asked = left.select(*grid.up("__a", level)).distinct().select("*", around.alias("o")).select(*own, "o.*")
     counts = points.groupBy(*grid.up("__c", level)).agg(F.count("*").alias("n"))
-    met = store(asked.join(counts, cell))
+    # asked is 27 times what its shuffle held, by whose size it would be broadcast
+    met = store(asked.join(counts.hint("merge"), cell))
     light = met.groupBy(*own).agg(F.sum("n").alias("n")).where(F.col("n") <= NEIGHBOURS)
     fields = ["latitude", "longitude", *ids, *(["rlat", "rlng", "clat"] if spherical else [])]
     held, cells = light.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     pairs = met.drop("n").join(broadcast_if(light.drop("n"), cells), own, "left_semi")
-    lists = pairs.join(points.select(*fields, *grid.up("__c", level)), cell).groupBy(*own).agg(
+    # a pair of cells has a point at least
+    lists = broadcast_or_merge(pairs, held).join(points.select(*fields, *grid.up("__c", level)), cell).groupBy(*own).agg(
         F.collect_list(F.struct(*fields)).alias("__candidates"))
     rows = spread(left, total).select("*", *grid.up("__a", level))
     if held <= CANDIDATES:
@@ -505,7 +507,7 @@ def _by_index(kept: DataFrame, bounds: Bounds, index: PointIndex, names: list[st
         return _few(kept, bounds[0], bounds, index.points, index.ids, index.grid.metric, names, other_than_self, index)
     placed = _positioned(kept).select("*", *index.grid.places(F.col("latitude"), F.col("longitude")))
     near = store(_around(placed, bounds[0], index, names, other_than_self).select("__row", *columns, *names))
-    rest = store(kept.join(near.select("__row"), "__row", "left_anti"))
+    rest = store(kept.join(broadcast_or_merge(near.select("__row"), bounds[0]), "__row", "left_anti"))
     rest_rows = rest.count()
     if not rest_rows:
         return near.drop("__row")

@@ -180,3 +180,27 @@ def test_nearest_other_of_one_point_and_none(spark):
     assert N.nearest_other(one).count() == 0 and N.nearest_other(one.where("a > 2")).count() == 0
     copies = spark.createDataFrame([(1, 1.0, 2.0), (2, 1.0, 2.0)], f"a long, {POINT}")
     assert {r["distance"] for r in N.nearest_other(copies).collect()} == {0.0}
+
+
+def test_cells_around_many_left_cells_are_not_broadcast(spark, grid, monkeypatch):
+    """27 cells for each left cell are far more than the shuffle of the left cells holds, and
+    stored cells take far fewer bytes in files than in a broadcast."""
+    written = []
+    store = N.store
+
+    def planned(df):
+        stored = store(df)
+        written.append(df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0])
+        return stored
+
+    monkeypatch.setattr(N, "store", planned)
+    monkeypatch.setattr(N, "FEW_ROWS", 10)
+    rng = random.Random(21)
+    left = [(i, 21 + rng.random() / 10, 105 + rng.random() / 10) for i in range(600)]
+    right = [(i, 21 + rng.random() / 10, 105 + rng.random() / 10) for i in range(600)]
+    found = N.nearest(spark.createDataFrame(left, "id long, latitude double, longitude double"),
+                      spark.createDataFrame(right, "place long, latitude double, longitude double"), ["place"])
+    got = {r["id"]: r["place"] for r in found.collect()}
+    assert got == {i: j for i, (_, j) in plain.nearest(left, right).items()}
+    around = [p for p in written if "Generate explode(array(struct(" in p and "Aggregate" in p]
+    assert around and not any("BroadcastHashJoin" in p for p in around)
