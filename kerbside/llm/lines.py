@@ -79,7 +79,8 @@ def across(members: DataFrame, texts: DataFrame, components: DataFrame, similari
     """(u, v): components that similar lines of a bucket link.
 
     Lines of a bucket with several components are gathered in blocks by a hash, and each two
-    blocks compared as arrays; ``texts`` has the lines of ``members`` and their numbers of
+    blocks compared as arrays, which leaves a tree of links for each group of components they link;
+    ``texts`` has the lines of ``members`` and their numbers of
     shingles, which are cut anew for each block, as their hashes are much longer than a line. A bit that one line's map has and the other's has
     not stands for a shingle at least that they do not share: with too many of these, which is the
     rule, the pair needs no exact comparison.
@@ -104,12 +105,19 @@ def across(members: DataFrame, texts: DataFrame, components: DataFrame, similari
     met = met.select(F.expr(f"inline(array(struct({hashed('rows')} AS rows, {hashed('others')} AS others, false AS same)))"))
     own = blocks.select(F.expr(f"inline(array(struct({hashed('rows')} AS rows)))")).selectExpr("rows", "rows AS others", "true AS same")
     met = met.unionByName(own)
-    found = met.select(F.explode(F.expr(f"""array_distinct(flatten(transform(rows, a -> transform(filter(others, b ->
+    # groups of linked components, joined by the lines one after another: a group of m of them
+    # leaves m - 1 links, and lines already in one group need no comparison
+    found = met.select(F.explode(F.expr(f"""flatten(transform(aggregate(rows, cast(array() AS array<array<bigint>>), (s, a) ->
+        transform(array(transform(filter(others, b ->
         (a.c < b.c OR NOT same AND a.c > b.c) AND least(a.n, b.n) >= {similarity}D * greatest(a.n, b.n) - 1e-9D
         AND (a.n - aggregate(zip_with(a.w, b.w, (x, y) -> bit_count(x & ~y)), 0, (t, k) -> t + k)) * {1 + similarity}D
             >= {similarity}D * (a.n + b.n) - 1e-9D
-        AND size(array_intersect(a.s, b.s)) * {1 + similarity}D >= {similarity}D * (a.n + b.n) - 1e-9D),
-        b -> struct(least(a.c, b.c) AS u, greatest(a.c, b.c) AS v)))))""")).alias("pair"))
+        AND NOT exists(s, g -> array_contains(g, a.c) AND array_contains(g, b.c))
+        AND size(array_intersect(a.s, b.s)) * {1 + similarity}D >= {similarity}D * (a.n + b.n) - 1e-9D), b -> b.c)), found ->
+        CASE WHEN size(found) = 0 THEN s ELSE transform(array(array_append(found, a.c)), l -> concat(
+            filter(s, g -> NOT arrays_overlap(g, l)),
+            array(array_distinct(concat(l, flatten(filter(s, g -> arrays_overlap(g, l))))))))[0] END)[0]),
+        g -> transform(array_remove(g, array_min(g)), c -> struct(array_min(g) AS u, c AS v))))""")).alias("pair"))
     linked_pairs = store(found.select("pair.*").distinct())
     forget(mixed, blocks)
     return linked_pairs

@@ -416,6 +416,33 @@ def test_short_lines_are_linked(spark):
     assert found.reshape(5, 300).mean(axis=1).min() >= 0.98
 
 
+def test_a_block_yields_a_tree_of_links(spark, monkeypatch):
+    """Two groups of lines alike in one bucket, none of them linked before: as few links as join them."""
+    monkeypatch.setattr(lines, "BLOCK", 20)
+    rng = np.random.default_rng(11)
+    base = ["".join(chr(97 + c) for c in rng.integers(0, 26, 300)) for _ in range(2)]
+    rows = [(g * 100 + i, base[g][:60 + i] + "Z" + base[g][61 + i:]) for g in (0, 1) for i in range(30)]
+    sets = {h: {t[i:i + lines.SHINGLE] for i in range(len(t) - lines.SHINGLE + 1)} for h, t in rows}
+    assert all(len(sets[a] & sets[b]) >= lines.SIMILARITY * len(sets[a] | sets[b]) for a in sets for b in sets if a // 100 == b // 100)
+    members = spark.createDataFrame([(h, 1, 60) for h, _ in rows], "h long, band long, n long")
+    texts = spark.createDataFrame([(h, t, len(sets[h])) for h, t in rows], "h long, line string, n int")
+    none = spark.createDataFrame([], "node long, component long")
+    linked = lines.across(members, texts, none).collect()
+    parent = {h: h for h, _ in rows}
+
+    def root(h):
+        while parent[h] != h:
+            h = parent[h]
+        return h
+
+    for r in linked:
+        parent[root(r["u"])] = root(r["v"])
+    assert {root(h) for h, _ in rows if h < 100}.isdisjoint({root(h) for h, _ in rows if h >= 100})
+    assert len({root(h) for h, _ in rows}) == 2
+    # three blocks, so six pairs of blocks: 870 pairs of lines are similar
+    assert len(linked) <= 6 * 60
+
+
 def test_lines_of_like_length_are_signed_alike(spark):
     """Pairs of which one line has a character more, or another first one, with few spaces or none."""
     rng = np.random.default_rng(9)
