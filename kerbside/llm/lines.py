@@ -1,7 +1,8 @@
 """Fuzzy line dedup by MinHash, in DataFrame operations only.
 
-A line's signature are the minima, in 24 orders, of the hashes of all its character shingles.
-Three minima make a band. The lines of a bucket, which agree on a band, are first compared with
+A line's signature are the minima, in 24 orders, of the hashes of all its character shingles: a
+shingle counts in the three orders of its eighth of the hashes, and an eighth without a shingle
+takes the minima of the next one that has any. Three minima of different eighths make a band. The lines of a bucket, which agree on a band, are first compared with
 the first of them by the exact Jaccard similarity of all their character shingles, and the links
 closed by union-find over the cluster. Where a bucket still holds several components, its lines
 are compared across them, in blocks: a block yields the components that it links, not pairs of
@@ -18,7 +19,9 @@ from kerbside.operators.components import connected_components
 from kerbside.session import broadcast_if, forget, store
 
 SHINGLE = 10
-BANDS, ROWS = 8, 3
+BANDS, ROWS = 8, 3   # as many bands as eighths
+TURNS = (3, 24, 45)  # bits by which a hash is turned left for each of a band's orders
+AHEAD = (0, 1, 3)    # eighths ahead of a band's own from which its minima come: two bands share one at most
 SIMILARITY = 0.8
 BLOCK = 128       # lines of a bucket that one row gathers, on average
 BLOCK_SHINGLES = 32_768   # and shingles of theirs
@@ -38,17 +41,26 @@ def occurrences(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
 
 def signatures(docs: DataFrame, text_column: str = "text") -> DataFrame:
-    """(h, m0, m1, ...): the minima of each different line that has a shingle.
+    """(h, m0, m1, ...): the minima of each different line that has a shingle; those of a band are next to each other.
 
-    Shingles are flattened to rows, hashed once and reduced to minima before the shuffle; the
-    k-th order of hashes is that of their exclusive or with the k-th constant.
+    Lines are shuffled once and signed where they come to lie. Shingles are flattened to rows, hashed once and
+    reduced to the minima of their eighth, so that a shingle meets ``ROWS`` minima and not all. An order is that
+    of the bits below a fixed one; an eighth's number is the first three bits, and the eighth next to it the one
+    of the least exclusive or.
     """
     lines = docs.select(F.explode(F.split(F.col(text_column).cast("string"), "\n", -1)).alias("line")).where(
         F.length("line") >= SHINGLE)
-    cut = lines.select(F.xxhash64("line").alias("h"), F.encode("line", "UTF-32").alias("code"))
+    once = lines.groupBy(F.xxhash64("line").alias("h")).agg(F.first("line").alias("line"))
+    cut = once.select("h", F.encode("line", "UTF-32").alias("code"))
     rows = cut.select("h", "code", F.explode(F.expr(_STARTS)).alias("k"))
     hashed = rows.selectExpr("h", f"xxhash64({_SHINGLE}) AS x")
-    return hashed.groupBy("h").agg(*[F.min(F.expr(f"x ^ {_constant(k)}L")).alias(f"m{k}") for k in range(BANDS * ROWS)])
+    eighths = hashed.groupBy("h", F.shiftrightunsigned("x", 61).alias("eighth")).agg(*[
+        F.min(F.expr(f"shiftleft(x, {t}) | shiftrightunsigned(x, {64 - t})")).alias(f"o{r}") for r, t in enumerate(TURNS)])
+    held = eighths.groupBy("h").agg(*[
+        F.min(F.expr(f"if(eighth = {i}, o{r}, null)")).alias(f"o{r}_{i}") for i in range(BANDS) for r in range(ROWS)])
+    return held.select("h", *[
+        F.coalesce(*[F.col(f"o{r}_{(b + AHEAD[r]) % BANDS ^ d}") for d in range(BANDS)]).alias(f"m{b * ROWS + r}")
+        for b in range(BANDS) for r in range(ROWS)])
 
 
 # A character of a line's ``code`` is four bytes, so that a shingle is found without a walk to it.
@@ -56,12 +68,6 @@ _STARTS = f"sequence(1, octet_length(code) - {4 * SHINGLE - 1}, 4)"
 _SHINGLE = f"substring(code, k, {4 * SHINGLE})"
 
 
-def _constant(k: int) -> int:
-    """Well mixed numbers: multiples of the golden ratio, as signed 64-bit integers."""
-    value = (k + 1) * 0x9E3779B97F4A7C15 % 2 ** 64
-    return value - 2 ** 64 if value >= 2 ** 63 else value
-
-
 def buckets(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(u, v): each line with the first of its buckets; (h, band, n): lines in buckets of over two."""
     bands = F.array(*[F.xxhash64(F.lit(b), *[f"m{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)])
@@ -81,7 +87,9 @@ def across(members: DataFrame, texts: DataFrame, components: DataFrame, similari
     Lines of a bucket with several components are gathered in blocks by a hash, and each two
     blocks compared as arrays, which leaves a tree of links for each group of components they link;
     ``texts`` has the lines of ``members`` and their numbers of
-    shingles, which are cut anew for each block, as their hashes are much longer than a line. A bit that one line's map has and the other's has
+    shingles, which are cut anew for each block, as their hashes are much longer than a line. Two lines that
+    meet in several buckets are compared in the one of the lowest band, of which all lines carry those
+    below their bucket's (``e``). A bit that one line's map has and the other's has
     not stands for a shingle at least that they do not share: with too many of these, which is the
     rule, the pair needs no exact comparison.
     """
@@ -91,16 +99,17 @@ def across(members: DataFrame, texts: DataFrame, components: DataFrame, similari
         F.min("c").alias("a"), F.max("c").alias("b"), F.greatest(
             F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("parts")).where("a < b").select("band", "parts"))
     open_lines = named.join(broadcast_if(mixed, mixed.count()), "band").select("band", "parts", "h", "c", "n")
-    several = texts.join(open_lines.select("h").distinct(), "h", "left_semi")
-    blocks = store(open_lines.join(several.select("h", "line").join(bit_maps(several), "h"), "h").groupBy(
+    several = texts.join(open_lines.groupBy("h").agg(F.collect_set("band").alias("bands")), "h")
+    lower = F.filter("bands", lambda x: x < F.col("band")).alias("e")
+    blocks = store(open_lines.join(several.select("h", "line", "bands").join(bit_maps(several), "h"), "h").groupBy(
         "band", "parts", F.pmod(F.xxhash64("h"), "parts").alias("part")).agg(
-        F.collect_list(F.struct("c", "n", "w", "line")).alias("rows")))
+        F.collect_list(F.struct("c", "n", "w", "line", lower)).alias("rows")))
     one = blocks.where("part < parts - 1").select(
         "band", F.col("rows").alias("others"), F.explode(F.expr("sequence(part + 1, parts - 1)")).alias("part"))
     met = one.join(blocks, ["band", "part"]).select("rows", "others")
     # a generator, so that the shingles of a line are cut once and not for each pair
     def hashed(rows: str) -> str:
-        return f"transform({rows}, r -> struct(r.c AS c, r.n AS n, r.w AS w, array_distinct({_shingles('r.line')}) AS s))"
+        return f"transform({rows}, r -> struct(r.c AS c, r.n AS n, r.w AS w, r.e AS e, {_shingles('r.line')} AS s))"
 
     met = met.select(F.expr(f"inline(array(struct({hashed('rows')} AS rows, {hashed('others')} AS others, false AS same)))"))
     own = blocks.select(F.expr(f"inline(array(struct({hashed('rows')} AS rows)))")).selectExpr("rows", "rows AS others", "true AS same")
@@ -110,6 +119,7 @@ def across(members: DataFrame, texts: DataFrame, components: DataFrame, similari
     found = met.select(F.explode(F.expr(f"""flatten(transform(aggregate(rows, cast(array() AS array<array<bigint>>), (s, a) ->
         transform(array(transform(filter(others, b ->
         (a.c < b.c OR NOT same AND a.c > b.c) AND least(a.n, b.n) >= {similarity}D * greatest(a.n, b.n) - 1e-9D
+        AND NOT arrays_overlap(a.e, b.e)
         AND (a.n - aggregate(zip_with(a.w, b.w, (x, y) -> bit_count(x & ~y)), 0, (t, k) -> t + k)) * {1 + similarity}D
             >= {similarity}D * (a.n + b.n) - 1e-9D
         AND NOT exists(s, g -> array_contains(g, a.c) AND array_contains(g, b.c))

@@ -527,3 +527,36 @@ def test_warc_records_with_clashing_columns(spark):
     assert len(set(odd.columns)) == len(odd.columns) and set(odd.columns) == set(plain.columns) | set(names)
     assert Counter(map(str, odd.select(plain.columns).collect())) == Counter(map(str, plain.collect()))
     assert {r["m"] + r["__text"] + r["row"] for r in odd.collect()} == {"m__textrow"}
+
+
+def test_a_signature_is_that_of_the_shingles(spark):
+    """Minima by hand from the shingles' hashes, for lines from one shingle to many; repeated lines give one."""
+    rng = np.random.default_rng(3)
+    texts = ["".join(chr(c) for c in rng.integers(97, 123, n)) for n in (10, 11, 13, 20, 60, 300)] + ["é" * 12, "short"]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts + texts[:3])], "doc_id long, text string")
+    cut = [(t, t[i:i + lines.SHINGLE]) for t in texts for i in range(len(t) - lines.SHINGLE + 1)]
+    hashes = {}
+    for r in spark.createDataFrame(cut, "line string, s string").selectExpr(
+            "xxhash64(line) h", "xxhash64(encode(s, 'UTF-32')) x").collect():
+        hashes.setdefault(r["h"], set()).add(r["x"] % 2 ** 64)
+    got = {r["h"]: r for r in lines.signatures(docs).collect()}
+    assert got.keys() == hashes.keys()
+    for h, own in hashes.items():
+        for b in range(lines.BANDS):
+            for r, (turn, ahead) in enumerate(zip(lines.TURNS, lines.AHEAD)):
+                near = min(x >> 61 ^ (b + ahead) % 8 for x in own)
+                turned = [(x << turn | x >> 64 - turn) % 2 ** 64 for x in own if x >> 61 ^ (b + ahead) % 8 == near]
+                assert got[h][f"m{b * lines.ROWS + r}"] == min(x - 2 ** 64 if x >> 63 else x for x in turned)
+
+
+def test_lines_that_share_buckets_are_compared_in_one(spark):
+    """Two lines alike that meet in three buckets, each with an unlike line, are linked all the same."""
+    a = "one line of some length that is written here twice, and nearly so"
+    texts = [(1, a), (2, a[:-1] + "X"), (3, "quite another text, of no likeness to the first two of these lines"),
+             (4, "a fourth row of letters, unlike all others that this table holds!!")]
+    given = spark.createDataFrame(texts, "h long, line string").withColumn(
+        "n", F.expr(f"size(array_distinct({lines._shingles('line')}))"))
+    met = spark.createDataFrame([(h, band, 3) for band, other in ((7, 3), (5, 4), (9, 3)) for h in (1, 2, other)],
+                                "h long, band long, n long")
+    none = spark.createDataFrame([], "node long, component long")
+    assert [tuple(r) for r in lines.across(met, given, none).collect()] == [(1, 2)]
