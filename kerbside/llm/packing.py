@@ -23,6 +23,7 @@ LENGTH = 2048
 GRAIN = 8          # width of a length class in tokens
 END = 1            # id that ends every document
 KNOWN_WORDS = 300_000
+MARKS = b".,;:!?"  # no apostrophe, which may belong to the letters behind it
 
 
 def tokenised(docs: DataFrame, tokenizer: str, length: int = LENGTH, id_column: str = "doc_id",
@@ -77,14 +78,28 @@ class _Words:
         self.known: dict[bytes, bytes] = {}
 
     def learn(self, texts: list[list[bytes]]) -> None:
-        """Make all words of these texts known; many are encoded in one call, as a call costs most."""
-        new = set().union(*texts) - self.known.keys()
+        """Make all words of these texts known; many are encoded in one call, as a call costs most.
+
+        Letters and marks behind them are units of their own, so that such a word is put together
+        from the ids of both. Where too many words are known, those of these texts stay.
+        """
+        used = set().union(*texts)
+        new = used - self.known.keys()
         if len(new) + len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-            new = set().union(*texts)
-        new = list(new)
-        for begin in range(0, len(new), 500):
-            self._encode(new[begin:begin + 500])
+            self.known = {word: self.known[word] for word in used - new}
+        whole, marked = set(), []
+        for word in new:
+            stem = word.rstrip(MARKS)
+            if len(stem) < len(word) and stem.decode("utf-8", "replace").isalpha():
+                marked.append((word, stem, word[len(stem):]))
+                whole.update(marked[-1][1:])
+            else:
+                whole.add(word)
+        whole = list(whole - self.known.keys())
+        for begin in range(0, len(whole), 500):
+            self._encode(whole[begin:begin + 500])
+        for word, stem, marks in marked:
+            self.known[word] = self.known[stem] + self.known[marks]
 
     def _encode(self, words: list[bytes]) -> None:
         import unicodedata

@@ -560,3 +560,28 @@ def test_lines_that_share_buckets_are_compared_in_one(spark):
                                 "h long, band long, n long")
     none = spark.createDataFrame([], "node long, component long")
     assert [tuple(r) for r in lines.across(met, given, none).collect()] == [(1, 2)]
+
+
+def test_known_words_that_are_used_stay(monkeypatch):
+    """Words with marks get the tokenizer's ids, and an overflow encodes none of the words at hand again."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    exact = Tokenizer.from_file(path)
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 12)
+    words = packing._Words(path)
+    encoded = []
+    monkeypatch.setattr(words, "_encode", lambda new, f=words._encode: (encoded.extend(new), f(new)))
+    first = [w.encode() for w in ("house", "house,", "house?!", "école.", "ΟΔΟΣ.", "Å;", "é.", "x'.", "4.", "...", "'s,", "가:")]
+    words.learn([first])
+    before, second = len(encoded), [*first[:6], b"river.", b"river!"]
+    words.learn([second])
+    assert set(encoded[before:]) <= {b"river", b".", b"!"}
+    for word in second + [b"house", b"river"]:
+        assert words.known[word] == np.array(exact.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes(), word
+    words = packing._Words(path)
+    words.learn([first])
+    for word in first:
+        assert words.known[word] == np.array(exact.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes(), word
+    words.learn([[b"\xffab.", b"<|x.", b"<|endoftext|>."]])
+    for word in (b"\xffab.", b"<|x.", b"<|endoftext|>."):
+        ids = exact.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+        assert words.known[word] == np.array(ids, "<u4").tobytes(), word
