@@ -11,6 +11,8 @@ slot of their rank in a join. Nothing that grows with the documents leaves the e
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,11 +21,18 @@ from pyspark.sql.window import Window
 from kerbside.llm.common import running_sums, small_batches, text_bytes
 from kerbside.session import store
 
+if TYPE_CHECKING:
+    import numpy as np
+    import pyarrow as pa
+
 LENGTH = 2048
 GRAIN = 8          # width of a length class in tokens
 END = 1            # id that ends every document
 KNOWN_WORDS = 300_000
-MARKS = b".,;:!?"  # no apostrophe, which may belong to the letters behind it
+MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # no apostrophe, which may belong to the letters behind it
+PORTION = 8_000_000   # bytes of text in whose words' numbers are held at a time
+LETTERS = "^[A-Za-zÀ-ÖØ-öø-ɏЀ-ҁ]+$"   # of words that are cut from the marks around them together; others one by one
+SENT = 4_096          # pieces sent on at a time
 
 
 def tokenised(docs: DataFrame, tokenizer: str, length: int = LENGTH, id_column: str = "doc_id",
@@ -31,42 +40,56 @@ def tokenised(docs: DataFrame, tokenizer: str, length: int = LENGTH, id_column:
     """Pieces of at most ``length`` ids: (id, start, length, ids, doc_tokens).
 
     ``ids`` are little-endian unsigned 32-bit integers. The ids of a text are those of its
-    words, as the tokenizer drops white space; a task keeps the words it has met.
+    words, as the tokenizer drops white space; a Python worker keeps the words it has met.
     """
-    def pieces(frames: Iterator) -> Iterator:
+    def pieces(batches: Iterator) -> Iterator:
         import numpy as np
-        import pandas as pd
-
-        words = _Words(tokenizer)
-        for frame in frames:
-            rows = []
-            # the tokenizer lowers letters; only its special strings are told apart by case
-            texts = [(text if b"<|" in text else text.lower()).split() for text in frame["text"]]
-            words.learn(texts)
-            for key, text in zip(frame["key"], texts):
-                ids = words.ids(text)
-                total = len(ids) // 4
-                for start in range(0, total, length):
-                    piece = ids[4 * start:4 * (start + length)]
-                    rows.append((key, start, len(piece) // 4, piece, total))
-            out = pd.DataFrame(rows, columns=["key", "start", "length", "ids", "doc_tokens"])
-            yield out.astype({"start": np.int64, "length": np.int64, "doc_tokens": np.int64})
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        words = _words(tokenizer)
+        for batch in batches:
+            keys, texts = batch.columns
+            portion = np.cumsum(pc.binary_length(texts).to_numpy()) // PORTION
+            cuts = [0, *(np.flatnonzero(np.diff(portion)) + 1).tolist(), len(texts)]
+            for first, end in zip(cuts, cuts[1:]):
+                raw, totals = words.numbered(texts.slice(first, end - first))
+                n = -(-totals // length)
+                row = np.repeat(np.arange(end - first), n)
+                start = (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)) * length
+                size = np.minimum(totals[row] - start, length)
+                place = np.append(0, np.cumsum(size)) * 4
+                for at in range(0, len(row), SENT):
+                    own, to = slice(at, at + SENT), min(at + SENT, len(row))
+                    offsets = (place[at:to + 1] - place[at]).astype(np.int32)
+                    held = pa.Array.from_buffers(pa.binary(), to - at, [
+                        None, pa.py_buffer(offsets), raw.slice(int(place[at]), int(place[to] - place[at]))])
+                    yield pa.RecordBatch.from_arrays(
+                        [keys.take(pa.array(row[own] + first)), pa.array(start[own]), pa.array(size[own]), held,
+                         pa.array(totals[row[own]])], ["key", "start", "length", "ids", "doc_tokens"])
 
     kind = docs.schema[id_column].dataType.simpleString()
     given = small_batches(docs).select(F.col(id_column).alias("key"), text_bytes(text_column).alias("text"))
-    cut = given.mapInPandas(pieces, f"key {kind}, start long, length long, ids binary, doc_tokens long")
+    cut = given.mapInArrow(pieces, f"key {kind}, start long, length long, ids binary, doc_tokens long")
     return cut.withColumnRenamed("key", id_column)
 
 
+@lru_cache(maxsize=1)
+def _words(path: str) -> _Words:
+    """One for the tasks that a Python worker runs one after another."""
+    return _Words(path)
+
+
 class _Words:
     """Ids of words by the tokenizer at ``path``, as bytes, remembered up to a fixed number."""
 
     def __init__(self, path: str) -> None:
         import os
+        import re
 
         import numpy as np
         import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
@@ -75,60 +98,115 @@ class _Words:
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         # the units a word falls into; fixed by the tokenizer
         self.units = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+        # words of these lower-case letters are a unit each; written in the model's own letters, which
+        # stand for bytes, they only need to be merged
+        self.merging = Tokenizer.from_file(path)
+        self.merging.normalizer, self.merging.pre_tokenizer = None, pre_tokenizers.CharDelimiterSplit(" ")
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        lower = [c for c in map(chr, range(0x482)) if re.match(LETTERS, c) and c == c.lower()]
+        self.written = {ord(c): level.pre_tokenize_str(c)[0][0] for c in lower if not c.isascii()}
+        some = f"[{''.join(lower)}]+"
+        self.plain, self.all_plain = re.compile(some).fullmatch, re.compile(f"{some}(?: {some})*").fullmatch
         self.known: dict[bytes, bytes] = {}
 
+    def numbered(self, texts: pa.Array) -> tuple[pa.Buffer, np.ndarray]:
+        """The ids of binary texts one after another, each text's end id behind it, and their numbers by text."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        texts = texts.view(pa.string())   # need not be UTF-8: only ASCII is looked at
+        # the tokenizer lowers letters; only its special strings are told apart by case
+        split = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts)))
+        coded = split.flatten().dictionary_encode()
+        own = pa.concat_arrays([self._of(coded.dictionary), pa.array([END.to_bytes(4, "little")], pa.large_binary())])
+        ends = np.cumsum(pc.list_value_length(split).to_numpy())
+        held = own.take(pa.array(np.insert(coded.indices.to_numpy(), ends, len(own) - 1)))
+        after = np.cumsum(pc.binary_length(held).to_numpy()) // 4
+        return held.buffers()[2], np.diff(after[ends + np.arange(len(ends))], prepend=0)
+
+    def _of(self, words: pa.Array) -> pa.Array:
+        """Ids of words. Letters and the marks around them are units of their own, which many words share."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        marks = MARKS.decode()
+        behind = pc.ascii_ltrim(words, marks)
+        core = pc.ascii_rtrim(behind, marks)
+        whole, left, size = (pc.binary_length(x).to_numpy() for x in (words, behind, core))
+        cut = (size < whole) & pc.match_substring_regex(core, LETTERS).to_numpy(zero_copy_only=False)
+        cut &= ~pc.match_substring(words, "<|").to_numpy(zero_copy_only=False)
+        # a word's three parts lie next to each other in the bytes of all words
+        begin = np.append(0, np.cumsum(whole))
+        places = np.empty(3 * len(words) + 1, np.int32)
+        places[::3], places[1::3] = begin, begin[:-1] + np.where(cut, whole - left, 0)
+        places[2::3] = places[1::3] + np.where(cut, size, whole)
+        held = pa.py_buffer(b"".join(words.view(pa.binary()).to_numpy(zero_copy_only=False).tolist()))
+        parts = pa.Array.from_buffers(pa.binary(), 3 * len(words), [None, pa.py_buffer(places), held]).dictionary_encode()
+        used = parts.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self.learn([used])
+        ids = pa.array(map(self.known.__getitem__, used), pa.large_binary(), size=len(used))
+        codes = parts.indices.to_numpy()
+        return pc.binary_join_element_wise(*[ids.take(pa.array(codes[k::3])) for k in range(3)], pa.scalar(b"", pa.large_binary()))
+
     def learn(self, texts: list[list[bytes]]) -> None:
         """Make all words of these texts known; many are encoded in one call, as a call costs most.
 
-        Letters and marks behind them are units of their own, so that such a word is put together
-        from the ids of both. Where too many words are known, those of these texts stay.
+        Letters and the marks around them are units of their own, so that such a word is put together
+        from the ids of its parts. Where too many words are known, those of these texts stay.
         """
         used = set().union(*texts)
-        new = used - self.known.keys()
+        new = [word for word in used if word not in self.known]
         if len(new) + len(self.known) > KNOWN_WORDS:
-            self.known = {word: self.known[word] for word in used - new}
-        whole, marked = set(), []
-        for word in new:
-            stem = word.rstrip(MARKS)
-            if len(stem) < len(word) and stem.decode("utf-8", "replace").isalpha():
-                marked.append((word, stem, word[len(stem):]))
-                whole.update(marked[-1][1:])
+            self.known = {word: self.known[word] for word in used.difference(new)}
+        letters, whole, marked = [], set(), []
+        for word, text in zip(new, _decoded(new)):
+            if self.plain(text):
+                letters.append(word)
+                continue
+            core = word.strip(MARKS)
+            if core and len(core) < len(word) and b"<|" not in word and core.decode("utf-8", "replace").isalpha():
+                marked.append((word, [part for part in word.partition(core) if part]))
+                whole.update(part for part in marked[-1][1] if part not in used and part not in self.known)
             else:
                 whole.add(word)
-        whole = list(whole - self.known.keys())
-        for begin in range(0, len(whole), 500):
-            self._encode(whole[begin:begin + 500])
-        for word, stem, marks in marked:
-            self.known[word] = self.known[stem] + self.known[marks]
+        for some in (letters, list(whole)):
+            for begin in range(0, len(some), 500):
+                self._encode(some[begin:begin + 500])
+        for word, parts in marked:
+            self.known[word] = b"".join(map(self.known.__getitem__, parts))
 
     def _encode(self, words: list[bytes]) -> None:
         import unicodedata
 
         import numpy as np
 
-        texts = [w.decode("utf-8", "replace") for w in words]
-        plain = [w for w in texts if "<|" not in w]
-        units, normal = self.units.findall, unicodedata.normalize
-        counts = [1 if w.isalpha() else len(units(normal("NFC", w).lower())) for w in plain]
-        joined = self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0]
-        ids = np.array(joined.ids, "<u4")
+        texts = plain = _decoded(words)
+        tokenizer, joined = self.merging, " ".join(texts)
+        if self.all_plain(joined):
+            joined, counts = joined.translate(self.written), [1] * len(texts)
+        else:
+            tokenizer, plain = self.tokenizer, [w for w in texts if "<|" not in w]
+            joined = " ".join(plain)
+            units, normal = self.units.findall, unicodedata.normalize
+            counts = [1 if w.isalpha() else len(units(normal("NFC", w).lower())) for w in plain]
+        ids = np.array(tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
         last = np.flatnonzero(self.ends[ids])
         if len(plain) < len(texts) or len(last) != sum(counts):   # rare: special or uncommon characters
             for word, text in zip(words, texts):
                 encoded = self.tokenizer.encode(text, add_special_tokens=False).ids
                 self.known[word] = np.array(encoded, "<u4").tobytes()
             return
-        ends = np.append(last + 1, 0)[np.cumsum(counts) - 1] if len(last) else np.zeros(len(plain), int)
-        raw, begin = ids.tobytes(), 0
-        for word, count, end in zip(words, counts, ends.tolist()):
-            if not count:
-                self.known[word] = b""
-                continue
-            self.known[word] = raw[4 * begin:4 * end]
-            begin = end
+        # a word without a unit ends where the one before it does
+        ends = (4 * np.append(0, last + 1)[np.cumsum(counts)]).tolist()
+        raw = ids.tobytes()
+        self.known.update((word, raw[begin:end]) for word, begin, end in zip(words, [0, *ends], ends))
+
 
-    def ids(self, words: list[bytes]) -> bytes:
-        return b"".join(map(self.known.__getitem__, words)) + END.to_bytes(4, "little")
+def _decoded(words: list[bytes]) -> list[str]:
+    """Words, which hold no space, as text."""
+    return b" ".join(words).decode("utf-8", "replace").split(" ") if words else []
 
 
 def patterns(demand: dict[int, int], capacity: int, rounds: int = 1500,

@@ -585,3 +585,53 @@ def test_known_words_that_are_used_stay(monkeypatch):
     for word in (b"\xffab.", b"<|x.", b"<|endoftext|>."):
         ids = exact.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
         assert words.known[word] == np.array(ids, "<u4").tobytes(), word
+
+
+def test_marks_around_letters_are_units_of_their_own(monkeypatch):
+    """Letters are encoded once, whatever marks stand before or behind them, and get the tokenizer's ids."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    exact, words = Tokenizer.from_file(path), packing._Words(path)
+    encoded = []
+    monkeypatch.setattr(words, "_encode", lambda new, f=words._encode: (encoded.extend(new), f(new)))
+    texts = [w.encode() for w in ('(house)', '"house"***', "house$", "{école};", "[ärger/", "дом)")]
+    words.learn([texts])
+    assert Counter(encoded) == Counter([w.encode() for w in (
+        "house", "(", ")", '"', '"***', "$", "{", "école", "};", "[", "ärger", "/", "дом")])
+    for word in texts:
+        assert words.known[word] == np.array(exact.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes(), word
+
+
+def test_ids_of_odd_texts_are_the_tokenizers():
+    import pyarrow as pa
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    exact, words = Tokenizer.from_file(path), packing._Words(path)
+    texts = [t.encode() for t in (
+        "", " \n ", "one", "One (two), 'three' don't; it's: we'LL 's, ''s x'.", "École ÉCOLE é é. ≠ ≮> ΟΔΟΣ ας",
+        "a\x0bb\x0cc\x1cd\x85e f g\x00h", "<|endoftext|> <|EndOfText|>, (<|startoftext|>) House <|x", "12.5% 3rd №7 ½ x²",
+        "가나. 가 中文，字 कि \U0001f600! \U0002ebf0.", "ǅ ŉ İI ı ß ẞ ÿ Ÿ ж Ж ѝ ҁ Ѐ", "- -- ... !?word?! _a_ a_b a.b")]
+    texts += [b"\xff (\xffab). ab\xc3 \xc3. \xe9t\xe9", b"last"]
+    for _ in range(2):   # the second time all words are known
+        raw, counts = words.numbered(pa.array([b"left out", *texts], pa.binary()).slice(1))
+        ids, ends = np.frombuffer(raw, "<u4"), np.cumsum(counts)
+        assert len(ids) == ends[-1]
+        for text, n, end in zip(texts, counts, ends):
+            assert ids[end - n:end].tolist() == exact.encode(
+                text.decode("utf-8", "replace"), add_special_tokens=False).ids + [packing.END], text
+    assert len(words.numbered(pa.array([], pa.binary()))[1]) == 0
+
+
+def test_texts_longer_than_a_portion_are_cut_whole(spark):
+    """Texts of over eight million bytes together, some without a word, with ids that are text or null."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = [("a", "ab cd. " * 800_000), (None, "ab"), ("c", ""), ("d", "ef " * 1_200_000), (None, None), ("e", "ab, cd")]
+    got = packing.tokenised(spark.createDataFrame(rows, "doc_id string, text string"), path).selectExpr(
+        "doc_id", "start", "length", "octet_length(ids) AS n", "crc32(ids) AS crc", "doc_tokens").collect()
+    exact, want = Tokenizer.from_file(path), []
+    for key, text in rows:
+        unit = {"a": "ab cd. ", "d": "ef "}.get(key)
+        ids = exact.encode(unit or text or "", add_special_tokens=False).ids
+        ids = np.array(ids * (len(text) // len(unit) if unit else 1) + [1], "<u4")
+        want += [(key, k, len(ids[k:k + 2048]), 4 * len(ids[k:k + 2048]), zlib.crc32(ids[k:k + 2048].tobytes()), len(ids))
+                 for k in range(0, len(ids), 2048)]
+    assert Counter(map(tuple, got)) == Counter(want)
