@@ -67,6 +67,10 @@ def tokenised(docs: DataFrame, tokenizer: str, length: int = LENGTH, id_column:
                     yield pa.RecordBatch.from_arrays(
                         [keys.take(pa.array(row[own] + first)), pa.array(start[own]), pa.array(size[own]), held,
                          pa.array(totals[row[own]])], ["key", "start", "length", "ids", "doc_tokens"])
+                held = raw = None
+        # a worker that waits for its next task keeps the words it knows, and no buffers of this one
+        batch = keys = texts = None
+        pa.default_memory_pool().release_unused()
 
     kind = docs.schema[id_column].dataType.simpleString()
     given = small_batches(docs).select(F.col(id_column).alias("key"), text_bytes(text_column).alias("text"))

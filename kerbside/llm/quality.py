@@ -133,9 +133,13 @@ def estimate(patterns: dict[int, int], rounds: int = 200) -> dict[int, float]:
 
 
 def counted(docs: DataFrame, text_column: str = "text") -> DataFrame:
-    """``docs`` with a struct ``__f`` of the counts of each whole text; null counts as empty."""
+    """``docs`` with a struct ``__f`` of the counts of each whole text; null counts as empty.
+
+    Declared nondeterministic, as a filter on the counts would else be moved below them with a copy
+    of the function: texts would be counted again, in a second Python worker for each core.
+    """
     of = F.pandas_udf(_counts_of, ", ".join(f"{name} long" for name in FEATURES), F.PandasUDFType.SCALAR)
-    return small_batches(docs).withColumn("__f", of(text_bytes(text_column)))
+    return small_batches(docs).withColumn("__f", of.asNondeterministic()(text_bytes(text_column)))
 
 
 def verdicts(patterns: DataFrame) -> DataFrame:

@@ -211,6 +211,12 @@ def test_quality_counts_and_base_rules(docs):
     assert quality.keep_good(docs).count() == sum(r["kept"] for r in rows)
 
 
+def test_texts_are_counted_once_in_the_filter(docs):
+    """One Python step, and so one worker for each core, stands between the rows and those that are kept."""
+    plan = quality.keep_good(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == 1
+
+
 def test_quality_on_labelled_documents(spark):
     sf = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
