@@ -15,6 +15,7 @@ from kerbside.operators.skew import join_unique
 from kerbside.session import materialise, store
 
 NOISE = -1
+SAME_PLACE = 2.0 ** -40   # degrees, about a tenth of a micrometre: as fine as positions are told apart
 _TRIED_PAIRS = 256   # point pairs of two cells that are compared outright
 _SPLIT = 2           # levels a fuller pair of cells is split by: 4 per axis
 _DEEPEST = 24
@@ -28,10 +29,12 @@ def distance_steps(points: DataFrame) -> DataFrame:
         "distance", "rows", "next", (F.col("next") - F.col("distance")).alias("gap"))
 
 
-def k_distance_eps(points: DataFrame) -> float:
+def k_distance_eps(points: DataFrame, at_zero: float | None = None) -> float:
     """The distance below the first gap that exceeds mean + standard deviation of gaps.
 
-    Equal distances contribute gaps of zero, which are counted and not listed.
+    Equal distances contribute gaps of zero, which are counted and not listed. So many points
+    may share positions that this distance is zero: ``at_zero`` is returned then, and without
+    it that is an error.
     """
     steps = materialise(distance_steps(points))
     total, gaps, listed = steps.agg(F.sum("rows"), F.sum("gap"), F.count("gap")).first()
@@ -43,9 +46,9 @@ def k_distance_eps(points: DataFrame) -> float:
     eps = steps.where(F.col("gap") > mean + spread).agg(F.min("distance")).first()[0]
     if eps is None:
         raise ValueError("the sorted distances have no step to read a radius from")
-    if eps <= 0:
+    if eps <= 0 and at_zero is None:
         raise ValueError("the estimated radius is zero: too many points share a position")
-    return eps
+    return eps if eps > 0 else at_zero
 
 
 def _sub_cells(places: DataFrame, side: float, depth: int, tag: str) -> DataFrame:

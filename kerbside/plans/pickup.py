@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.operators.centres import with_coverage
-from kerbside.operators.density import cluster_count, dbscan, k_distance_eps
+from kerbside.operators.density import SAME_PLACE, cluster_count, dbscan, k_distance_eps
 from kerbside.operators.matching import match_buses
 from kerbside.operators.nearest import nearest
 from kerbside.operators.sampling import first_rows
@@ -30,8 +30,12 @@ def stop_of_cluster(stops: DataFrame, clusters: DataFrame) -> DataFrame:
 def plan_clusters(students: DataFrame, walk_max_distance: float = 1000, coverage_ratio: float = 0.9,
                   max_k: int | None = None, seed: int = 42) -> tuple[int, DataFrame, DataFrame]:
     """The first cluster count, from the density estimate up, that keeps enough students
-    within walking distance: (k, students with cluster_id, clusters)."""
-    first = cluster_count(dbscan(students, k_distance_eps(students))).first()[0]
+    within walking distance: (k, students with cluster_id, clusters).
+
+    Where so many students share positions that the estimated radius is zero, the positions
+    shared are the clusters of the estimate.
+    """
+    first = cluster_count(dbscan(students, k_distance_eps(students, at_zero=SAME_PLACE))).first()[0]
     limit = students.count() if max_k is None else max_k
     return with_coverage(students, first, limit, walk_max_distance, coverage_ratio, seed)
 

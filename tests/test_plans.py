@@ -5,7 +5,7 @@ import plain
 import pytest
 
 from kerbside import fixtures as fx
-from kerbside.operators import centres
+from kerbside.operators import centres, density
 from kerbside.plans import pickup, views
 from kerbside.sources.tables import Tables
 
@@ -55,6 +55,26 @@ def test_the_count_found_is_the_first_valid_one(spark):
     features.unpersist()
 
 
+def test_students_who_share_positions_get_stops(spark):
+    """The k-distance curve steps right after zero: no radius, but as many clusters as shared positions."""
+    homes = [(21.0 + 0.03 * i, 105.8 + 0.03 * (i % 2)) for i in range(6)]
+    rows = [(10 * n + i, *home) for n, home in enumerate(homes) for i in range(9)]
+    rows += [(100 + n, home[0] + 0.002 + 0.0001 * n, home[1]) for n, home in enumerate(homes[:2])]
+    students = spark.createDataFrame(rows, "student_id long, latitude double, longitude double")
+    found = density.dbscan(students, density.k_distance_eps(students, at_zero=density.SAME_PLACE))
+    assert {r["student_id"]: r["label"] for r in found.collect()} == {
+        i: -1 if i >= 100 else i // 10 * 10 for i, _, _ in rows}
+    assert density.cluster_count(found).first()[0] == 6
+    roads = spark.createDataFrame([(n, i, lat + 0.001 * i, lng) for n, (lat, lng) in enumerate(homes) for i in range(3)],
+                                  'road_id long, `order` int, latitude double, longitude double')
+    planned = pickup.plan_pickup(students, roads)
+    assigned = {r["student_id"]: r["stop_id"] for r in planned["assignments"].collect()}
+    stops = {r["stop_id"]: (r["latitude"], r["longitude"]) for r in planned["bus_stops"].collect()}
+    assert sorted(assigned) == sorted(i for i, _, _ in rows) and sorted(stops) == [1, 2, 3, 4, 5, 6]
+    for i, lat, lng in rows:
+        assert plain.haversine(lat, lng, *stops[assigned[i]]) <= 1000
+
+
 def test_no_students_no_plan(spark):
     assert pickup.plan_pickup(fx.students(spark, SF).limit(0), fx.road_points(spark, SF)) == {}
 
